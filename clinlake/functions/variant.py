@@ -8,14 +8,14 @@ call.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clinlake.functions.text import TIMESTAMP_OR_PAIR_PATTERN, strip
 
-DEFAULT_DEPTH = 8
+DEFAULT_DEPTH = 6
 
 # Top-level fields offered by the fast path.
 COMMON_FIELDS = ["id", "resourceType", "status", "text", "value", "display", "code"]
@@ -23,6 +23,7 @@ COMMON_FIELDS = ["id", "resourceType", "status", "text", "value", "display", "co
 # Placed after the document, so that text following the document's end shows as a parse failure: the
 # parser itself ignores it.
 _END_MARK = "$end-of-document$"
+_JSON_START = r'^[\[\s]*(\{\s*["}]|["\]0-9-]|true|false|null)'
 
 
 def quoted(name: str) -> str:
@@ -58,7 +59,9 @@ def repair_key_value(text: Column) -> Column:
 
 def parse_json_strict(text: Column) -> Column:
     """The text as a variant; NULL unless all of it is one JSON document."""
-    marked = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END_MARK}"]')))
+    # Most text that is no JSON shows it at the start; testing that is far cheaper than a failed parse.
+    likely = F.when(F.regexp_like(text, F.lit(_JSON_START)), text)
+    marked = F.try_parse_json(F.concat(F.lit("["), likely, F.lit(f',"{_END_MARK}"]')))
 
     def first_of_pair(doc: Column) -> Column:
         ends_there = F.try_variant_get(doc, "$[1]", "string") == _END_MARK
@@ -89,12 +92,13 @@ def parse_json_lenient(text: Column) -> Column:
 
 
 # -- flattening ----------------------------------------------------------------------------------
-# An entry is struct<path, node, text, role>. Roles:
+# All documents of a row are flattened together, in one array of entries
+# struct<column, path, node, text, role, level>. ``node`` is NULL once ``text`` is final. Roles:
 #   root       the whole document
 #   member     member of an object
 #   extension  member of an object under the key "extension"
 #   item       array element
-#   done       text is final
+#   value      value of an extension
 
 
 def _object(node: str) -> str:
@@ -109,71 +113,85 @@ def _scalar(node: str) -> str:
     return f"try_variant_get({node}, '$', 'string')"
 
 
-def _entry(path: str, node: str, role: str, text: str = "cast(null as string)") -> str:
-    return f"named_struct('path', {path}, 'node', {node}, 'text', {text}, 'role', {role})"
+def _entry(path: str, node: str, role: str, text: str = "cast(null as string)", level: str = "e.level + 1") -> str:
+    return (
+        f"named_struct('column', e.column, 'path', {path}, 'node', {node}, 'text', {text}, "
+        f"'role', {role}, 'level', {level})"
+    )
+
+
+def root_entries(columns: Sequence[str]) -> Column:
+    """The documents of the given text columns, parsed, as the first array of entries."""
+    documents = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("text")) for c in columns
+    ])
+    parsed = F.transform(documents, lambda d: F.struct(
+        d["column"].alias("column"),
+        d["column"].alias("path"),
+        parse_json_lenient(d["text"]).alias("node"),
+        F.lit(None).cast("string").alias("text"),
+        F.when(d["column"] == "extension", "extension").otherwise("root").alias("role"),
+        F.lit(0).alias("level"),
+    ))
+    return F.filter(parsed, lambda e: e["node"].isNotNull() & ~F.is_variant_null(e["node"]))
+
 
+def _extension_pairs(node: str) -> str:
+    """array<struct<name, text>> of an extension array that holds objects only; NULL for anything else.
 
-def _extension_entries(node: str, prefix: str) -> str:
-    """Entries of an extension array that holds objects only; NULL for anything else."""
+    An extension gives its first ``value*`` field under the last part of its url; one without either is
+    dropped.
+    """
     url = _scalar("try_element_at(x, 'url')")
     value_key = "get(filter(map_keys(x), k -> startswith(k, 'value')), 0)"
-    entry = _entry(
-        f"concat({literal(prefix + 'extension_url_')}, substring_index(substring_index({url}, ':', -1), '/', -1))",
-        "cast(null as variant)",
-        "'done'",
-        _scalar(f"try_element_at(x, {value_key})"),
+    pair = (
+        f"named_struct('name', substring_index(substring_index({url}, ':', -1), '/', -1), "
+        f"'text', {_scalar(f'try_element_at(x, {value_key})')})"
     )
     usable = f"filter(xs, x -> {url} != '' and {value_key} is not null)"
     return _let_sql(
         "xs",
         f"transform({_array(node)}, x -> {_object('x')})",
-        f"case when forall(xs, x -> x is not null) then transform({usable}, x -> {entry}) end",
+        f"case when forall(xs, x -> x is not null) then transform({usable}, x -> {pair}) end",
     )
 
 
-def _children(prefix: str) -> str:
-    """Entries that replace entry ``e``: its members, or itself when it is no container."""
+def next_level(entries: str) -> Column:
+    """Column ``entries`` with each container replaced by its members, in order."""
     member = _entry("concat(e.path, '_', m.key)", "m.value", "if(m.key = 'extension', 'extension', 'member')")
     item = _entry("concat(e.path, '_', i)", "x", "'item'")
-    return (
-        f"coalesce(transform(map_entries({_object('e.node')}), m -> {member}), "
-        f"case when e.role = 'extension' then {_extension_entries('e.node', prefix)} end, "
+    # The extension array that is the whole column "extension" gives names without a prefix.
+    name = "concat(if(e.path = 'extension', '', concat(e.column, '_')), 'extension_url_', x.name)"
+    extension = _entry(name, "cast(null as variant)", "'value'", "x.text")
+    scalar = _entry("e.path", "cast(null as variant)", "e.role", _scalar("e.node"), "e.level")
+    return F.expr(
+        f"flatten(transform({quoted(entries)}, e -> case when e.node is null then array(e) else coalesce("
+        f"transform(map_entries({_object('e.node')}), m -> {member}), "
+        f"case when e.role = 'extension' then transform({_extension_pairs('e.node')}, x -> {extension}) end, "
         f"transform({_array('e.node')}, (x, i) -> {item}), "
-        "array(e))"
+        f"array({scalar})) end))"
     )
 
 
-def root_entries(parsed: str, column: str) -> Column:
-    """The document in column ``parsed`` as an array of one entry; ``column`` is where paths start."""
-    role = "'extension'" if column == "extension" else "'root'"
-    root = _entry(literal(column), quoted(parsed), role)
-    return F.expr(f"filter(array({root}), e -> e.node is not null and not is_variant_null(e.node))")
-
-
-def next_level(entries: str, column: str, level: int) -> Column:
-    """Column ``entries`` with each container replaced by its members, in order."""
-    # The extension array that is the whole column "extension" gives names without a prefix.
-    prefix = "" if column == "extension" and level == 0 else column + "_"
-    return F.expr(f"flatten(transform({quoted(entries)}, e -> {_children(prefix)}))")
-
-
-def leaf_entries(entries: str, column: str) -> Column:
-    """Column ``entries`` as array<struct<path, text, open>>; a path may repeat.
+def leaf_entries(entries: str) -> Column:
+    """Column ``entries`` as array<struct<column, path, text, open, level>>; a path may repeat.
 
     ``open`` marks an entry that still is a container; its text is JSON.
     """
     stamp = literal(TIMESTAMP_OR_PAIR_PATTERN)
-    text = _let_sql(
+    # Timestamps and references are cleaned in members of objects; timestamps also in a whole document.
+    cleaned = _let_sql(
         "raw",
-        _scalar("e.node"),
-        f"if(e.role != 'item' and regexp_like(raw, {stamp}), regexp_replace(raw, {stamp}, '$1$3 $2$4'), raw)",
+        f"coalesce(e.text, {_scalar('e.node')})",
+        "if(e.role not in ('item', 'value') and contains(raw, ':') "
+        f"and regexp_like(raw, {stamp}), regexp_replace(raw, {stamp}, '$1$3 $2$4'), raw)",
     )
     leaf = (
-        "named_struct("
-        f"'path', if(e.path = {literal(column)}, concat(e.path, '_value'), e.path), "
-        f"'text', coalesce(e.text, {text}), "
+        "named_struct('column', e.column, "
+        "'path', if(e.path = e.column, concat(e.path, '_value'), e.path), "
+        f"'text', {cleaned}, "
         "'member', e.role in ('member', 'extension'), "
-        f"'size', coalesce(cardinality({_object('e.node')}), cardinality({_array('e.node')})))"
+        f"'size', coalesce(cardinality({_object('e.node')}), cardinality({_array('e.node')})), 'level', e.level)"
     )
     leaves = f"filter(transform({quoted(entries)}, e -> {leaf}), e -> coalesce(e.size, 1) > 0)"
 
@@ -189,28 +207,39 @@ def leaf_entries(entries: str, column: str) -> Column:
     resolved = _let_sql(
         "p",
         f"if(e.member and contains(e.text, 'reference='), {_let_sql('r', target, named)}, {plain})",
-        "named_struct('path', regexp_replace(p.path, '[^a-zA-Z0-9_]', '_'), 'text', p.text, "
-        "'open', e.size is not null)",
+        "named_struct('column', e.column, 'path', regexp_replace(p.path, '[^a-zA-Z0-9_]', '_'), "
+        "'text', p.text, 'open', e.size is not null, 'level', e.level)",
     )
     return F.expr(f"transform({leaves}, e -> {resolved})")
 
 
 def last_per_path(entries: str) -> Column:
-    """Column of ``leaf_entries`` as map<path, text>; the last entry of a repeated path stays.
+    """Column of ``leaf_entries`` with only the last entry of each (column, path).
 
-    Paths that repeat are found by sorting; a row without them, the usual case, skips the sort.
+    Repeats are found by sorting; a row without them, the usual case, skips the sort.
     """
-    column = quoted(entries)
-    placed = "named_struct('path', e.path, 'place', i, 'text', e.text)"
-    last = _let_sql("paths", "s.path", "filter(s, (e, i) -> not (get(paths, i + 1) <=> e.path))")
-    unique = _let_sql(
-        "s",
-        f"transform({column}, (e, i) -> {placed})",
-        "if(cardinality(array_distinct(s.path)) = cardinality(s), s, "
-        + _let_sql("s", "array_sort(s)", last)
-        + ")",
+    keys = "transform(s, e -> concat(e.column, '/', e.path))"
+    last = _let_sql("keys", keys, "filter(s, (e, i) -> not (get(keys, i + 1) <=> keys[i]))")
+    placed = (
+        f"transform({quoted(entries)}, (e, i) -> named_struct("
+        "'column', e.column, 'path', e.path, 'place', i, 'text', e.text))"
     )
-    return F.expr(_let_sql("u", unique, "map_from_arrays(u.path, u.text)"))
+    return F.expr(_let_sql(
+        "s",
+        placed,
+        f"if(cardinality(array_distinct({keys})) = cardinality(s), s, " + _let_sql("s", "array_sort(s)", last) + ")",
+    ))
+
+
+def path_values(leaves: str, column: str, paths: Sequence[str]) -> Column:
+    """The texts of one JSON column's paths, in the order of ``paths``; NULL where a path is absent."""
+    own = f"filter({quoted(leaves)}, e -> e.column = {literal(column)})"
+    wanted = ", ".join(literal(p) for p in paths)
+    return F.expr(_let_sql(
+        "m",
+        _let_sql("own", own, "map_from_arrays(own.path, own.text)"),
+        f"transform(array({wanted}), p -> try_element_at(m, p))",
+    ))
 
 
 # -- fields --------------------------------------------------------------------------------------
@@ -224,14 +253,11 @@ def common_field(text: Column, field: str) -> Column:
 
 def extension_map(parsed: str) -> Column:
     """Top-level extension array in column ``parsed`` as map<name, text>; the last of a name stays."""
-    entries = F.expr(_extension_entries(quoted(parsed), ""))
-    return _let(
-        F.transform(entries, lambda e, i: F.struct(e["path"].alias("path"), i.alias("place"), e["text"].alias("text"))),
-        lambda s: _let(
-            F.array_sort(s),
-            lambda s: _let(
-                F.filter(s, lambda e, i: ~F.get(s["path"], i + 1).eqNullSafe(e["path"])),
-                lambda u: F.map_from_arrays(u["path"], u["text"]),
-            ),
-        ),
+    keys = "transform(s, e -> e.name)"
+    last = _let_sql("keys", keys, "filter(s, (e, i) -> not (get(keys, i + 1) <=> keys[i]))")
+    placed = (
+        f"transform({_extension_pairs(quoted(parsed))}, (e, i) -> named_struct("
+        "'name', concat('extension_url_', regexp_replace(e.name, '[^a-zA-Z0-9_]', '_')), 'place', i, 'text', e.text))"
     )
+    sorted_last = _let_sql("s", f"array_sort({placed})", last)
+    return F.expr(_let_sql("u", sorted_last, "map_from_arrays(u.name, u.text)"))

@@ -10,7 +10,7 @@ import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.operators.rows import first_per_key
@@ -71,6 +71,11 @@ def _rest(responses: DataFrame) -> list[str]:
     return [c for c in responses.columns if c != "response_json"]
 
 
+def _exploded(df: DataFrame, rest: Sequence[str], items: Column) -> DataFrame:
+    """One row per item, in ``_item``; the outer form keeps the optimizer from computing items twice."""
+    return df.select(*rest, F.explode_outer(items).alias("_item")).filter("_item is not null")
+
+
 def _items(responses: DataFrame, fields: str, items: str, key: Sequence[str], scope: str) -> DataFrame:
     """One row per item of the responses' ``Entities``, the first of each key only.
 
@@ -86,10 +91,10 @@ def _items(responses: DataFrame, fields: str, items: str, key: Sequence[str], sc
             "get(transform(array(array_sort(_items)), s -> get(transform(array(s.key), keys -> "
             "filter(s, (x, i) -> not (get(keys, i - 1) <=> x.key))), 0)), 0)"
         )
-        return found.select(*rest, F.inline(F.expr(first))).select(*rest, "key.*", "rest.*")
+        return _exploded(found, rest, F.expr(first)).select(*rest, "_item.key.*", "_item.rest.*")
     if scope != "row":
         raise ValueError(f"scope must be 'api' or 'row', not {scope!r}")
-    rows = found.select(*rest, F.inline("_items")).select(*rest, "key.*", "rest.*", "place")
+    rows = _exploded(found, rest, F.col("_items")).select(*rest, "_item.key.*", "_item.rest.*", "_item.place")
     return first_per_key(rows, ["row_number", *key], ["api_ord", "place"]).drop("place")
 
 
@@ -144,7 +149,7 @@ def _scored_concepts(responses: DataFrame, api: str, field: str, prefix: str) ->
     parsed = F.from_json("response_json", f"struct<Entities:array<struct<{fields}>>>").getField("Entities")
     return (
         responses.filter(F.col("api") == api)
-        .select(*rest, F.explode(parsed).alias("_entity"))
+        .select(*rest, F.explode_outer(parsed).alias("_entity"))
         .select(*rest, F.col("_entity.Id").alias("EntityId"), F.explode(f"_entity.{field}").alias("_concept"))
         .select(
             *rest,

@@ -2,12 +2,40 @@
 
 Nothing is grouped or joined here: every shape is a projection of one table, so it grows with the
 table and has no hot key. Forms that differ between rows are chosen by a key, never filtered by it.
+A shape is stored in the shared working folder when a session first uses it, and read from there by
+every query: operators then run over stored nested tables, as they do on landed data.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from clinlake.session import working_folder
+
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(shape: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(shape)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, shape.__name__)
+        if key not in _stored:
+            path = working_folder(spark, shape.__name__)
+            shape(spark, sf_dir).write.parquet(path)
+            _stored[key] = path
+        return spark.read.parquet(_stored[key])
+
+    return read
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than there are cores, spread over the cores before it is reshaped."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,6 +72,7 @@ def _coding(i: str) -> str:
     )
 
 
+@stored
 def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as medications: 0-3 codings (NULL array for none) and 0-4 ingredients (empty for none).
 
@@ -54,7 +83,7 @@ def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'text', concat('ingredient ', o_custkey, '-', j), "
         f"'coding', case when j < 3 then array({_coding('j')}, {_coding('(j + 1)')}) end) end)"
     )
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(table(spark, sf_dir, "orders")).selectExpr(
         "concat('med-', o_orderkey) as id",
         "named_struct('text', o_orderpriority, 'coding', case when o_orderkey % 4 > 0 then "
         f"transform(slice(array(1, 2, 3), 1, int(o_orderkey % 4)), i -> {_coding('i')}) end) as code",
@@ -62,8 +91,9 @@ def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def condition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(table(spark, sf_dir, "orders")).selectExpr(
         "concat('cond-', o_orderkey) as id",
         "named_struct('text', o_orderpriority, 'coding', array(named_struct('code', o_orderstatus))) as code",
         "named_struct('text', o_orderstatus) as clinicalStatus",
@@ -72,8 +102,9 @@ def condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def observation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "concat('obs-', event_id) as id",
         "array(named_struct('text', event_type), named_struct('text', 'laboratory')) as category",
         "named_struct('text', concat('test ', event_type)) as code",
@@ -90,8 +121,9 @@ def observation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id",
         "named_struct('text', concat('procedure ', l_partkey)) as code",
         "named_struct('reference', concat('Encounter/', l_orderkey)) as encounter",
@@ -103,20 +135,22 @@ def procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(
+    return spread(table(spark, sf_dir, "customer")).selectExpr(
         "concat('pat-', c_custkey) as id",
         "case when c_mktsegment = 'BUILDING' then null when c_custkey % 2 = 0 then 'female' else 'male' end as gender",
     )
 
 
+@stored
 def practitioner(spark: SparkSession, sf_dir: str) -> DataFrame:
     address = (
         "named_struct('city', concat('city ', s_nationkey, {n}), 'country', concat('nation ', s_nationkey), "
         "'district', 'd{n}', 'line', array(s_name, 'floor {n}'), 'postalCode', cast(s_suppkey as string), "
         "'state', 's{n}', 'use', 'work')"
     )
-    return table(spark, sf_dir, "supplier").selectExpr(
+    return spread(table(spark, sf_dir, "supplier")).selectExpr(
         "concat('prac-', s_suppkey) as id",
         f"array({address.format(n=1)}, {address.format(n=2)}) as address",
         "array(named_struct('family', s_name, 'suffix', array('MD', 'PhD'), 'use', 'official')) as name",
@@ -124,8 +158,9 @@ def practitioner(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").selectExpr(
+    return spread(table(spark, sf_dir, "conversations")).selectExpr(
         "concat('enc-', conv_id, '-', turn) as id",
         "named_struct('display', role) as class",
         "array(named_struct('condition', named_struct('reference', concat('Condition/', conv_id)))) as diagnosis",
@@ -144,9 +179,10 @@ def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times in five forms, one of which is no timestamp."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "case event_id % 5 "
         "when 0 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS'-03:00'\") "
@@ -159,8 +195,9 @@ def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "case event_id % 5 when 0 then concat('Patient/', user_id) "
         "when 1 then concat('reference=Medication/', event_id, '/x, display=', event_type) "
@@ -172,13 +209,14 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def concept_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as reason text: extension JSON inside key=value text; some concepts lack fields."""
 
     def ext(name: str, field: str, value: str) -> str:
         return f"""'{{"url":"urn:omop:normalizedConcept:{name}","{field}":', {value}, '}},'"""
 
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "concat('[{coding=[{extension=[', "
         + ext("id", "valueInteger", "l_partkey") + ", "
@@ -193,6 +231,7 @@ def concept_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def dosage_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as dosage text: key=value form, JSON form, and a form with ``null`` in the usual places."""
     pairs = (
@@ -213,22 +252,24 @@ def dosage_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('{text=null, patientInstruction=null, _patientInstruction=q, route={code=null, display=null}, "
         "doseQuantity={unit=null}, value=', l_linenumber, ', unit=drop}')"
     )
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         f"case l_partkey % 3 when 0 then {pairs} when 1 then {json} else {nulls} end as dosage",
     )
 
 
+@stored
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").selectExpr(
+    return spread(table(spark, sf_dir, "pages")).selectExpr(
         "page_id", "concat('{status=generated, ', replace(html, '<div', 'div=<div'), '}') as text"
     )
 
 
+@stored
 def lenient_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON, quote-wrapped JSON, key=value text, JSON with junk behind it, and broken text."""
     document = "to_json(named_struct('id', event_id, 'kind', event_type, 'user', user_id))"
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         f"case event_id % 5 when 0 then {document} "
         f"when 1 then concat('\"', replace({document}, '\"', '\"\"'), '\"') "
@@ -238,9 +279,10 @@ def lenient_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as two JSON columns with objects, arrays, extensions, references and timestamps."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "to_json(named_struct("
         "'source', event_type, "
@@ -257,9 +299,10 @@ def nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def extension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types and users as an extension array; entries without url or value are to be dropped."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "concat('[{\"url\":\"urn:x:documentId\",\"valueString\":\"d', event_id, '\"},"
         "{\"url\":\"http://x/count\",\"valueInteger\":', user_id, '},"
@@ -268,9 +311,10 @@ def extension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as medication statements with all fifteen JSON text columns."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(table(spark, sf_dir, "orders")).selectExpr(
         "concat('st-', o_orderkey) as id",
         "case o_orderstatus when 'F' then 'completed' when 'O' then '' else 'null' end as Status",
         "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS'-03:00'\") as effectivedatetime",
@@ -299,6 +343,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as annotation responses, one per api; 0-4 entities each, whose Ids and traits repeat."""
     apis = "'detect_entities_v2', 'detect_phi', 'infer_icd10_cm', 'infer_rx_norm', 'infer_snomed_ct'"
@@ -324,7 +369,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"'SNOMEDCTConcepts', {concepts(4, 'S')})"
     )
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .selectExpr("*", f"posexplode(array({apis})) as (api_ord, api)")
         .selectExpr(
             "o_orderkey as row_number",
@@ -336,7 +381,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def annotated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(table(spark, sf_dir, "orders")).selectExpr(
         "o_orderkey as row_number", "o_custkey as case_hub_id", "o_orderpriority as case_type_name"
     )
