@@ -1,19 +1,19 @@
 """Lenient JSON parsing and flattening, as expressions over ``variant`` values.
 
 Flattening stays inside the row: each level replaces the containers of an array of entries by their
-members, so a document becomes an array of (path, text) without a generator, a shuffle or a UDF. Those
-expressions are built as SQL text, which states nested lambdas directly and reaches the parser in one
-call.
+members, so a document becomes an array of (path, text) without a generator, a shuffle or a UDF.
+Expressions with nested lambdas are built as SQL text: it states them directly and reaches the parser in
+one call.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clinlake.functions.text import TIMESTAMP_OR_PAIR_PATTERN, strip
+from clinlake.functions.text import TIMESTAMP_OR_PAIR_PATTERN
 
 DEFAULT_DEPTH = 6
 
@@ -23,6 +23,10 @@ COMMON_FIELDS = ["id", "resourceType", "status", "text", "value", "display", "co
 # Placed after the document, so that text following the document's end shows as a parse failure: the
 # parser itself ignores it.
 _END_MARK = "$end-of-document$"
+# A key=value pair and its JSON form.
+_KEY_VALUE = r"(\w+)=([^,}]+)"
+_KEY_VALUE_AS_JSON = '"$1":"$2"'
+
 _JSON_START = r'^[\[\s]*(\{\s*["}]|["\]0-9-]|true|false|null)'
 
 
@@ -34,15 +38,15 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once for all its uses in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _let_sql(name: str, value: str, body: str) -> str:
+    """Evaluate ``value`` once for all uses of ``name`` in ``body``."""
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
+def _scalar(node: str, path: str = "$") -> str:
+    return f"try_variant_get({node}, '{path}', 'string')"
+
+
 # -- parsing -------------------------------------------------------------------------------------
 
 
@@ -54,41 +58,49 @@ def clean_json_text(text: Column) -> Column:
 
 def repair_key_value(text: Column) -> Column:
     """``{k=v}`` as ``{"k":"v"}``; flat objects and arrays of flat objects become JSON."""
-    return F.regexp_replace(text, r"(\w+)=([^,}]+)", '"$1":"$2"')
+    return F.regexp_replace(text, _KEY_VALUE, _KEY_VALUE_AS_JSON)
 
 
-def parse_json_strict(text: Column) -> Column:
-    """The text as a variant; NULL unless all of it is one JSON document."""
+def _parse_strict(text: str) -> str:
     # Most text that is no JSON shows it at the start; testing that is far cheaper than a failed parse.
-    likely = F.when(F.regexp_like(text, F.lit(_JSON_START)), text)
-    marked = F.try_parse_json(F.concat(F.lit("["), likely, F.lit(f',"{_END_MARK}"]')))
+    likely = f"case when regexp_like({text}, {literal(_JSON_START)}) then {text} end"
+    whole = (
+        f"{_scalar('doc', '$[1]')} = '{_END_MARK}' and try_variant_get(doc, '$[2]', 'variant') is null"
+    )
+    return _let_sql(
+        "doc",
+        f"try_parse_json(concat('[', {likely}, ',\"{_END_MARK}\"]'))",
+        f"case when {whole} then try_variant_get(doc, '$[0]', 'variant') end",
+    )
+
+
+def _parse_lenient(text: str) -> str:
+    wrapped = "(length(t) > 1 and startswith(t, '\"') and endswith(t, '\"'))"
+    bare = f"if({wrapped}, substr(t, 2, length(t) - 2), t)"
+    single = "replace(b, '\"\"', '\"')"
+    repaired = f"regexp_replace({single}, {literal(_KEY_VALUE)}, {literal(_KEY_VALUE_AS_JSON)})"
+    attempts = (
+        f"coalesce(case when not {wrapped} then {_parse_strict('t')} end, "
+        f"case when {wrapped} or contains(t, '\"\"') then {_let_sql('s', single, _parse_strict('s'))} end, "
+        f"case when contains(t, '=') then {_let_sql('s', repaired, _parse_strict('s'))} end)"
+    )
+    trimmed = f"trim(both ' \\t\\n\\r' from {text})"
+    return _let_sql("t", trimmed, f"case when t != '' and t != 'null' then {_let_sql('b', bare, attempts)} end")
 
-    def first_of_pair(doc: Column) -> Column:
-        ends_there = F.try_variant_get(doc, "$[1]", "string") == _END_MARK
-        no_more = F.try_variant_get(doc, "$[2]", "variant").isNull()
-        return F.when(ends_there & no_more, F.try_variant_get(doc, "$[0]", "variant"))
 
-    return _let(marked, first_of_pair)
+def parse_json_strict(column: str) -> Column:
+    """The text in ``column`` as a variant; NULL unless all of it is one JSON document."""
+    return F.expr(_let_sql("t", quoted(column), _parse_strict("t")))
 
 
-def parse_json_lenient(text: Column) -> Column:
+def parse_json_lenient(column: str) -> Column:
     """JSON, quote-wrapped JSON with doubled quotes, or flat key=value text, as a variant.
 
     NULL, blank, ``null`` and text that cannot be read give NULL. Attempts, in order: the text itself
     (unwrapped first when it is in quotes), with doubled quotes undone, with key=value pairs repaired.
     Repeated keys need ``session.keep_last_duplicate_key``.
     """
-
-    def attempts(trimmed: Column) -> Column:
-        wrapped = (F.length(trimmed) > 1) & trimmed.startswith('"') & trimmed.endswith('"')
-        bare = F.when(wrapped, F.substr(trimmed, F.lit(2), F.length(trimmed) - 2)).otherwise(trimmed)
-        single = F.replace(bare, F.lit('""'), F.lit('"'))
-        as_it_is = F.when(~wrapped, parse_json_strict(trimmed))
-        undoubled = F.when(wrapped | trimmed.contains('""'), parse_json_strict(single))
-        repaired = F.when(trimmed.contains("="), parse_json_strict(repair_key_value(single)))
-        return F.when(~trimmed.isin("", "null"), F.coalesce(as_it_is, undoubled, repaired))
-
-    return _let(strip(text), attempts)
+    return F.expr(_parse_lenient(quoted(column)))
 
 
 # -- flattening ----------------------------------------------------------------------------------
@@ -109,10 +121,6 @@ def _array(node: str) -> str:
     return f"try_variant_get({node}, '$', 'array<variant>')"
 
 
-def _scalar(node: str) -> str:
-    return f"try_variant_get({node}, '$', 'string')"
-
-
 def _entry(path: str, node: str, role: str, text: str = "cast(null as string)", level: str = "e.level + 1") -> str:
     return (
         f"named_struct('column', e.column, 'path', {path}, 'node', {node}, 'text', {text}, "
@@ -122,18 +130,15 @@ def _entry(path: str, node: str, role: str, text: str = "cast(null as string)",
 
 def root_entries(columns: Sequence[str]) -> Column:
     """The documents of the given text columns, parsed, as the first array of entries."""
-    documents = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("text")) for c in columns
-    ])
-    parsed = F.transform(documents, lambda d: F.struct(
-        d["column"].alias("column"),
-        d["column"].alias("path"),
-        parse_json_lenient(d["text"]).alias("node"),
-        F.lit(None).cast("string").alias("text"),
-        F.when(d["column"] == "extension", "extension").otherwise("root").alias("role"),
-        F.lit(0).alias("level"),
-    ))
-    return F.filter(parsed, lambda e: e["node"].isNotNull() & ~F.is_variant_null(e["node"]))
+    documents = ", ".join(
+        f"named_struct('column', {literal(c)}, 'text', cast({quoted(c)} as string))" for c in columns
+    )
+    parsed = _entry(
+        "e.column", _parse_lenient("e.text"), "if(e.column = 'extension', 'extension', 'root')", level="0"
+    )
+    return F.expr(
+        f"filter(transform(array({documents}), e -> {parsed}), e -> e.node is not null and not is_variant_null(e.node))"
+    )
 
 
 def _extension_pairs(node: str) -> str:
@@ -183,14 +188,14 @@ def leaf_entries(entries: str) -> Column:
     cleaned = _let_sql(
         "raw",
         f"coalesce(e.text, {_scalar('e.node')})",
-        "if(e.role not in ('item', 'value') and contains(raw, ':') "
+        "if(e.role != 'item' and e.role != 'value' and contains(raw, ':') "
         f"and regexp_like(raw, {stamp}), regexp_replace(raw, {stamp}, '$1$3 $2$4'), raw)",
     )
     leaf = (
         "named_struct('column', e.column, "
         "'path', if(e.path = e.column, concat(e.path, '_value'), e.path), "
         f"'text', {cleaned}, "
-        "'member', e.role in ('member', 'extension'), "
+        "'member', e.role = 'member' or e.role = 'extension', "
         f"'size', coalesce(cardinality({_object('e.node')}), cardinality({_array('e.node')})), 'level', e.level)"
     )
     leaves = f"filter(transform({quoted(entries)}, e -> {leaf}), e -> coalesce(e.size, 1) > 0)"

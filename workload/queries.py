@@ -212,7 +212,7 @@ def lowercase_columns(spark, sf_dir):
 @query
 def json_parse_lenient(spark, sf_dir):
     keep_last_duplicate_key(spark)
-    parsed = shapes.lenient_json(spark, sf_dir).select("event_id", V.parse_json_lenient(F.col("doc")).alias("v"))
+    parsed = shapes.lenient_json(spark, sf_dir).select("event_id", V.parse_json_lenient("doc").alias("v"))
     return parsed.select(
         "event_id",
         *[F.try_variant_get("v", f"$.{field}", "string").alias(f"doc_{field}") for field in ("id", "kind", "user")],
