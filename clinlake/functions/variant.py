@@ -161,13 +161,24 @@ def _extension_pairs(node: str) -> str:
     )
 
 
-def next_level(entries: str) -> Column:
-    """Column ``entries`` with each container replaced by its members, in order."""
-    member = _entry("concat(e.path, '_', m.key)", "m.value", "if(m.key = 'extension', 'extension', 'member')")
-    item = _entry("concat(e.path, '_', i)", "x", "'item'")
+def next_level(entries: str, located: bool = False) -> Column:
+    """Column ``entries`` with each container replaced by its members, in order.
+
+    With ``located``, paths keep where each step goes (see ``KEY_STEP`` and ``ITEM_STEP``), and an
+    extension's value has its array's path and the extension's name as text.
+    """
+    key_step, item_step = (literal(KEY_STEP), literal(ITEM_STEP)) if located else ("'_'", "'_'")
+    member = _entry(
+        f"concat(e.path, {key_step}, m.key)", "m.value", "if(m.key = 'extension', 'extension', 'member')"
+    )
+    item = _entry(f"concat(e.path, {item_step}, i)", "x", "'item'")
     # The extension array that is the whole column "extension" gives names without a prefix.
     name = "concat(if(e.path = 'extension', '', concat(e.column, '_')), 'extension_url_', x.name)"
-    extension = _entry(name, "cast(null as variant)", "'value'", "x.text")
+    extension = (
+        _entry("e.path", "cast(null as variant)", "'value'", "x.name")
+        if located
+        else _entry(name, "cast(null as variant)", "'value'", "x.text")
+    )
     scalar = _entry("e.path", "cast(null as variant)", "e.role", _scalar("e.node"), "e.level")
     return F.expr(
         f"flatten(transform({quoted(entries)}, e -> case when e.node is null then array(e) else coalesce("
@@ -178,6 +189,16 @@ def next_level(entries: str) -> Column:
     )
 
 
+def _reference(text: str) -> tuple[str, str, str]:
+    """What follows ``reference=`` in ``text``, and the type and id in that, called ``r``."""
+    blanks = "both ' \\t\\n\\r' from"
+    return (
+        f"trim({blanks} substring_index(get(split({text}, 'reference='), 1), ',', 1))",
+        f"trim({blanks} substring_index(r, '/', 1))",
+        f"trim({blanks} substr(r, instr(r, '/') + 1))",
+    )
+
+
 def leaf_entries(entries: str) -> Column:
     """Column ``entries`` as array<struct<column, path, text, open, level>>; a path may repeat.
 
@@ -200,10 +221,7 @@ def leaf_entries(entries: str) -> Column:
     )
     leaves = f"filter(transform({quoted(entries)}, e -> {leaf}), e -> coalesce(e.size, 1) > 0)"
 
-    blanks = "both ' \\t\\n\\r' from"
-    target = f"trim({blanks} substring_index(get(split(e.text, 'reference='), 1), ',', 1))"
-    kind = f"trim({blanks} substring_index(r, '/', 1))"
-    ident = f"trim({blanks} substr(r, instr(r, '/') + 1))"
+    target, kind, ident = _reference("e.text")
     plain = "named_struct('path', e.path, 'text', e.text)"
     named = (
         f"if(instr(r, '/') > 0 and {kind} != '' and {ident} != '', "
@@ -218,6 +236,114 @@ def leaf_entries(entries: str) -> Column:
     return F.expr(f"transform({leaves}, e -> {resolved})")
 
 
+# Steps of a located path: into an object member, and into an array element.
+KEY_STEP = "\u0001k"
+ITEM_STEP = "\u0001i"
+
+
+def located_leaves(entries: str) -> Column:
+    """Located ``entries`` as array<struct<column, location, kind, name, level>>.
+
+    Kinds: ``member`` and ``item`` are scalars, ``reference`` a member whose text refers to a resource of
+    type ``name``, ``extension`` a value of the extension called ``name``, ``open`` a container.
+    """
+    target, kind, ident = _reference("text")
+    resource = _let_sql("r", target, f"if(instr(r, '/') > 0 and {ident} != '', nullif({kind}, ''), null)")
+    named = _let_sql(
+        "text",
+        f"coalesce(e.text, {_scalar('e.node')})",
+        "case when e.role = 'value' then text "
+        f"when (e.role = 'member' or e.role = 'extension') and contains(text, 'reference=') then {resource} end",
+    )
+    size = f"coalesce(cardinality({_object('e.node')}), cardinality({_array('e.node')}))"
+    leaf = (
+        f"named_struct('column', e.column, 'location', e.path, 'role', e.role, 'name', {named}, "
+        f"'size', {size}, 'level', e.level)"
+    )
+    kinds = (
+        "case when e.size > 0 then 'open' when e.role = 'value' then 'extension' "
+        "when e.name is not null then 'reference' when e.role = 'item' then 'item' else 'member' end"
+    )
+    return F.expr(
+        f"transform(filter(transform({quoted(entries)}, e -> {leaf}), e -> coalesce(e.size, 1) > 0), "
+        f"e -> named_struct('column', e.column, 'location', e.location, 'kind', {kinds}, "
+        "'name', if(e.size > 0, null, e.name), 'level', e.level))"
+    )
+
+
+def located_name() -> Column:
+    """The column name a located leaf gives, from its fields."""
+    step = literal("\u0001[ki]")
+    return F.expr(
+        "regexp_replace(case "
+        "when kind = 'extension' then concat(if(location = 'extension', '', concat(`column`, '_')), 'extension_url_', name) "
+        f"when kind = 'reference' then concat(regexp_replace(location, {step}, '_'), '_', name) "
+        "when location = `column` then concat(`column`, '_value') "
+        f"else regexp_replace(location, {step}, '_') end, '[^a-zA-Z0-9_]', '_')"
+    )
+
+
+def variant_path(steps: Sequence[str | int]) -> str | None:
+    """The path expression of object keys and array places; None when a key cannot be written in one."""
+    path = "$"
+    for step in steps:
+        if isinstance(step, int):
+            path += f"[{step}]"
+        elif step and "'" not in step and "\u0001" not in step:
+            path += f"['{step}']"
+        elif step and '"' not in step and "\u0001" not in step:
+            path += f'["{step}"]'
+        else:
+            return None
+    return path
+
+
+def scalar_at(document: str, path: str) -> str:
+    """SQL for the text at a path, which is JSON when a container is there."""
+    return f"try_variant_get({quoted(document)}, {literal(path)}, 'string')"
+
+
+def unless_container(value: str, document: str, path: str) -> str:
+    """SQL for ``value``, the text at a path, or NULL when that is a container's JSON."""
+    at = f"try_variant_get({quoted(document)}, {literal(path)}, "
+    return (
+        f"case when startswith({value}, '{{') and {at}'map<string,variant>') is not null then null "
+        f"when startswith({value}, '[') and {at}'array<variant>') is not null then null else {value} end"
+    )
+
+
+def cleaned_stamp(value: str) -> str:
+    """SQL for ``value`` with a timestamp, or a pair with one, normalised."""
+    stamp = literal(TIMESTAMP_OR_PAIR_PATTERN)
+    return (
+        f"case when contains({value}, ':') and regexp_like({value}, {stamp}) "
+        f"then regexp_replace({value}, {stamp}, '$1$3 $2$4') else {value} end"
+    )
+
+
+def reference_parts(value: str) -> str:
+    """SQL for struct<kind, ident> of ``reference=kind/ident`` in ``value``; NULL when there is none."""
+    target, kind, ident = _reference(value)
+    parts = (
+        f"case when instr(r, '/') > 0 and {kind} != '' and {ident} != '' "
+        f"then named_struct('kind', {kind}, 'ident', {ident}) end"
+    )
+    return f"case when contains({value}, 'reference=') then {_let_sql('r', target, parts)} end"
+
+
+def extension_pairs_at(document: str, paths: Sequence[str]) -> str:
+    """SQL for the (name, text) pairs of all extension arrays at the paths, in order."""
+    arrays = [
+        _extension_pairs(f"try_variant_get({quoted(document)}, {literal(p)}, 'variant')") for p in paths
+    ]
+    return "concat(" + ", ".join(f"coalesce({a}, array())" for a in arrays) + ")"
+
+
+def last_named(pairs: str, name: str) -> str:
+    """SQL for the text of the last pair called ``name``."""
+    return f"try_element_at(filter({quoted(pairs)}, x -> x.name = {literal(name)}), -1).text"
+
+
 def last_per_path(entries: str) -> Column:
     """Column of ``leaf_entries`` with only the last entry of each (column, path).
 

@@ -112,13 +112,39 @@ def test_flatten_agrees_with_brute_force(spark, rows):
     assert {(r["i"], p, v) for r in wide.collect() for p, v in r.asDict().items() if p != "i" and v is not None} == long
 
 
-def test_flatten_to_columns_with_given_paths_runs_no_job(spark):
+def test_flatten_to_columns_with_given_sources_runs_no_job(spark):
     df = spark.createDataFrame([(1, '{"a":1,"b":2}', "k")], "i int, c string, plain string")
-    wide = J.flatten_to_columns(df, ["c", "absent"], [("c", "c_b"), ("c", "c_z")], depth=1)
+    sources = [J.Source("c", f"c_{key}", f"c{V.KEY_STEP}{key}", "member", None) for key in "bz"]
+    wide = J.flatten_to_columns(df, ["c", "absent"], sources)
     assert wide.columns == ["i", "plain", "c_b", "c_z"]
     assert tuple(wide.first()) == (1, "k", "2", None)
 
 
+WIDE_CASES = [
+    '{"a":{"b":1},"t":"2024-05-23T10:11:23Z","r":"reference=Patient/p1"}',
+    '{"a":"{text}","t":["2024-05-23T10:11:23Z"],"r":"reference=Group/g1"}',
+    '{"a":[],"r":"plain reference=","extension":[{"url":"urn:x:k","valueString":"1"}]}',
+    '{"a":[1,{"extension":[{"url":"urn:x:k","valueString":"2"},{"url":"urn:y:k","valueInteger":3}]}],"r":{"x":null}}',
+    '{"x_y":1,"x":{"y":2},"x.y":3}',
+    '{"extension":{"z":1},"a":["{b}","[c]"]}',
+    "{k=v, t=2024-05-23T10:11:23Z}",
+    "5",
+    None,
+]
+
+
+@pytest.mark.parametrize("more", [[], ['{"quote\'\\"key":1}']])
+@pytest.mark.parametrize("name", ["c", "extension"])
+def test_wide_is_the_pivot_of_long(spark, name, more):
+    """Both ways of projecting (the second case has a key no location can name) agree with the long rows."""
+    df = spark.createDataFrame(list(enumerate(WIDE_CASES + more)), f"i int, `{name}` string")
+    long = {(r.i, r.path): r.value for r in J.flatten_long(df, ["i"], [name]).collect() if r.value is not None}
+    wide = J.flatten_to_columns(df, [name])
+    assert set(wide.columns) - {"i"} == {r.path for r in J.discover_keys(df, [name]).collect()}
+    found = {(r["i"], p): v for r in wide.collect() for p, v in r.asDict().items() if p != "i" and v is not None}
+    assert found == long
+
+
 def test_discover_keys_finds_all_columns(spark):
     df = spark.createDataFrame([('{"a":1}', '{"b":{"c":2}}'), ('{"z":1}', None)], "x string, y string")
     found = {tuple(r) for r in J.discover_keys(df, ["x", "y"]).collect()}
@@ -150,5 +176,5 @@ def test_extension_columns(spark):
 
 def test_flattening_plan_has_no_python_and_no_shuffle(spark):
     df = spark.createDataFrame([(1, '{"a":1}')], "i int, c string")
-    plan = J.flatten_to_columns(df, ["c"], [("c", "c_a")], depth=1)._jdf.queryExecution().executedPlan().toString()
+    plan = J.flatten_to_columns(df, ["c"])._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "Exchange" not in plan
