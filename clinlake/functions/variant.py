@@ -180,13 +180,19 @@ def next_level(entries: str, located: bool = False) -> Column:
         else _entry(name, "cast(null as variant)", "'value'", "x.text")
     )
     scalar = _entry("e.path", "cast(null as variant)", "e.role", _scalar("e.node"), "e.level")
-    return F.expr(
-        f"flatten(transform({quoted(entries)}, e -> case when e.node is null then array(e) else coalesce("
+    children = (
+        f"case when e.node is null then array(e) else coalesce("
         f"transform(map_entries({_object('e.node')}), m -> {member}), "
         f"case when e.role = 'extension' then transform({_extension_pairs('e.node')}, x -> {extension}) end, "
         f"transform({_array('e.node')}, (x, i) -> {item}), "
-        f"array({scalar})) end))"
+        f"array({scalar})) end"
     )
+    # Rows whose entries are all final pass through the remaining levels as they are.
+    return F.expr(_let_sql(
+        "s",
+        quoted(entries),
+        f"if(exists(s, e -> e.node is not null), flatten(transform(s, e -> {children})), s)",
+    ))
 
 
 def _reference(text: str) -> tuple[str, str, str]:
