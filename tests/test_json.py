@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinlake.functions import variant as V
 from clinlake.operators import json_columns as J
+from clinlake.plans.statements import medication_statements
 from clinlake.session import keep_last_duplicate_key
 
 
@@ -151,6 +152,13 @@ def test_discover_keys_finds_all_columns(spark):
     assert found == {("x", "x_a"), ("x", "x_z"), ("y", "y_b_c")}
 
 
+def test_table_without_json_columns_stays(spark):
+    df = spark.createDataFrame([(1, "2024-05-23T10:11:23Z", "null")], "i int, dateasserted string, S string")
+    assert J.flatten_to_columns(df, ["absent"]).columns == df.columns
+    row = medication_statements(df).first()
+    assert row.asDict() == {"i": 1, "dateasserted": "2024-05-23 10:11:23", "s": None, "dateasserted_normalized": "2024-05-23 10:11:23"}
+
+
 def test_too_many_columns_are_refused_not_cut(spark, monkeypatch):
     monkeypatch.setattr(J, "MAX_COLUMNS", 3)
     df = spark.createDataFrame([('{"a":1,"b":1,"c":1,"d":1}',)], "x string")
