@@ -2,30 +2,64 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
 DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("clinlake_owned_folders", default=None)
+
 
 def keep_last_duplicate_key(spark: SparkSession) -> None:
-    """Let JSON objects repeat a key (the last one wins) instead of losing the document."""
+    """Let JSON objects repeat a key (the last one wins) instead of losing the document.
+
+    Every operator that parses JSON calls this while it builds its plan, so it changes the caller's session.
+    """
     spark.conf.set(DUPLICATE_KEYS, "true")
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path for intermediate tables, under the folder all executors share.
+    """A new path for intermediate tables, in a folder that all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a session whose master is this
-    machine may go without one, and then gets a temporary folder.
+    That is the one named in ``spark.checkpoint.dir`` or, where it is unset, ``clinlake-work`` in the
+    warehouse. Inside ``working_scope`` the path is deleted when the scope ends.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="clinlake-")
-        spark.conf.set(CHECKPOINT_KEY, base)
-    return f"{base.rstrip('/')}/clinlake/{purpose}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get(WAREHOUSE_KEY).rstrip('/')}/clinlake-work"
+    path = f"{base.rstrip('/')}/clinlake/{purpose}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
+    """The same rows, written once to a working folder and read from there, so that no later job computes them again."""
+    path = working_folder(df.sparkSession, purpose)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def working_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes every working folder made inside it. Nothing that reads them may be used afterwards."""
+    owned: list[str] = []
+    token = _OWNED.set(owned)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in owned:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
