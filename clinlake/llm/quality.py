@@ -24,7 +24,7 @@ SYMBOLS = "#*$%&|<>"
 
 MIN_DOCUMENTS = 10
 MAX_SHARE = 0.02
-#: A document is depleted when fewer than MIN_WORDS words, or less than this share of its words, are left.
+#: A document is depleted when less than this share of its words is left.
 MIN_LEFT_SHARE = 0.3
 
 
@@ -126,7 +126,7 @@ def judged(docs: DataFrame) -> DataFrame:
     joined = m.join(r, F.expr("m._key = r._key and m._doc.doc_id <=> r.doc_id"), "left")
     gone = F.coalesce(F.aggregate("_removed", F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.lit(0).cast("long"))
     left = joined.select("m.*", F.transform("_removed", lambda x: x["line_no"]).alias("_removed"), (F.col("n_words") - gone).alias("words_left"))
-    kept = ~F.col("base_failed") & (F.col("words_left") >= MIN_WORDS) & (F.col("words_left") >= MIN_LEFT_SHARE * F.col("n_words"))
+    kept = ~F.col("base_failed") & (F.col("words_left") >= MIN_LEFT_SHARE * F.col("n_words"))
     return left.withColumn("kept", kept)
 
 

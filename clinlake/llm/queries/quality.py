@@ -53,6 +53,6 @@ WITH docs AS (
 ), judged AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
 )
-SELECT *, NOT base_failed AND words_left >= 20 AND words_left >= 0.3 * n_words AS kept FROM judged
+SELECT *, NOT base_failed AND words_left >= 0.3 * n_words AS kept FROM judged
 """
 }
