@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.llm.queries import chat, quality, simhash
+from clinlake.llm.queries import bpe, chat, packing, quality, simhash
 
-_MODULES = (chat, quality, simhash)
+_MODULES = (chat, packing, simhash, quality, bpe)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for m in _MODULES for q in m.QUERIES}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
