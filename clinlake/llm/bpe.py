@@ -23,6 +23,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import regex
+import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -199,12 +200,33 @@ class BytePairEncoder:
         return b"".join([self.bytes_of.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
+class LibraryEncoder(BytePairEncoder):
+    """The same ids, with words not yet remembered encoded by the tiktoken library from the same vocabulary."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        added = set(self.added.values())
+        vocabulary = {token: i for i, token in self.bytes_of.items() if i not in added}
+        self._library = tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=vocabulary, special_tokens={})
+
+    def _encode_word(self, word: str) -> array:
+        ids = array("I", self._library.encode_ordinary(word))
+        _remember(self._words, word, ids)
+        return ids
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> BytePairEncoder:
     """One encoder per worker and vocabulary."""
     return BytePairEncoder(path)
 
 
+@lru_cache(maxsize=2)
+def library_encoder(path: str) -> LibraryEncoder:
+    """One per worker and vocabulary, for operators that need ids but are not about encoding."""
+    return LibraryEncoder(path)
+
+
 def encoded(text: Column, path: str) -> Column:
     """The ids of a text column as array<int>."""
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from clinlake.llm.bpe import encoder
+from clinlake.llm.bpe import library_encoder
 from clinlake.session import stored
 
 WINDOW = 2048
@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32 bits) of every piece of every document."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own = library_encoder(vocabulary)
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 yield _cut(batch.slice(first, 500), own)

@@ -12,6 +12,8 @@ source are passed through by ``kept_documents`` and ignored otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,11 @@ MAX_SHARE = 0.02
 MIN_LEFT_SHARE = 0.3
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """_doc (the row as a struct), _key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
+def measures(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """_doc (struct of doc_id and the columns carried), _key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_doc"),
         _row_key().alias("_key"),
         F.length(without(text, BLANKS)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
@@ -120,9 +122,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("line_no", F.col("_words").alias("words"))).alias("_removed"))
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``measures`` with _removed (line numbers), words_left and kept."""
-    m, r = measures(docs).alias("m"), removed_lines(docs).alias("r")
+    m, r = measures(docs, carried).alias("m"), removed_lines(docs).alias("r")
     joined = m.join(r, F.expr("m._key = r._key and m._doc.doc_id <=> r.doc_id"), "left")
     gone = F.coalesce(F.aggregate("_removed", F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.lit(0).cast("long"))
     left = joined.select("m.*", F.transform("_removed", lambda x: x["line_no"]).alias("_removed"), (F.col("n_words") - gone).alias("words_left"))
@@ -133,7 +135,7 @@ def judged(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with; shared lines are gone from text, and n_chars follows."""
     lines = F.filter(F.split(F.col("_doc.text"), "\n"), lambda line, i: ~F.array_contains(F.col("_removed"), i))
-    passed = judged(docs).filter("kept").withColumn(
+    passed = judged(docs, docs.columns).filter("kept").withColumn(
         "_text", F.when(F.col("_removed").isNull(), F.col("_doc.text")).otherwise(F.array_join(lines, "\n"))
     )
     changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}

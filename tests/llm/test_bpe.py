@@ -22,6 +22,7 @@ def same(library, text):
     expected = library.encode(text, add_special_tokens=False).ids
     own = bpe.encoder(VOCABULARY)
     assert list(own.encode(text)) == expected, text
+    assert list(bpe.library_encoder(VOCABULARY).encode(text)) == expected, text
     assert own.decode(expected) == library.decode(expected, skip_special_tokens=False)
 
 
