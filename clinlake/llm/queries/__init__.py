@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.llm.queries import bpe, chat, packing, quality, secrets, simhash, toxicity, warc
+from clinlake.llm.queries import bpe, chat, curves, packing, quality, secrets, simhash, toxicity, warc
 
-_MODULES = (chat, warc, packing, toxicity, simhash, quality, secrets, bpe)
+_MODULES = (chat, warc, packing, toxicity, curves, simhash, quality, secrets, bpe)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for m in _MODULES for q in m.QUERIES}
 ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
