@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def report(spans: Column, base_kinds: Sequence[str]) -> list[Column]:
-    """n_<kind> of each base kind, base_sha256 and spans."""
-    base = F.filter(spans, lambda s: s["kind"].isin(*base_kinds))
-    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in base_kinds]
+def report(spans: Column, base_kinds: Sequence[str], is_base: Callable[[Column], Column]) -> list[Column]:
+    """n_<kind> of each base kind and base_sha256, of the base spans, and spans, of all."""
+    base = F.filter(spans, is_base)
+    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in base_kinds]
     return [*counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(spans).alias("spans")]
