@@ -15,6 +15,7 @@ then kind as listed; base spans of one kind never overlap, those of different ki
 
 from __future__ import annotations
 
+import pickle
 import re
 import string
 from collections.abc import Iterator, Sequence
@@ -189,12 +190,22 @@ def trained(pieces: Sequence[str]) -> Tagger:
 
 
 def fit(docs: DataFrame) -> Tagger:
-    """The model for a corpus, from a bounded sample of pieces of its texts."""
+    """The model for a corpus, from a bounded sample of pieces of its texts.
+
+    Trained in one task, whose worker Spark holds to one thread: the products are too small for more.
+    """
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = [piece for batch in batches for piece in batch["_piece"]]
+        yield pd.DataFrame({"model": [pickle.dumps(trained(sorted(own)))]})
+
     text = F.coalesce(F.col("text"), F.lit(""))
     order = F.xxhash64("doc_id", "text")
     start = F.pmod(F.xxhash64("text"), F.greatest(F.length(text) - PIECE_CHARS, F.lit(1))).cast("int") + 1
     pieces = docs.select(order.alias("_order"), F.substring(text, start, F.lit(PIECE_CHARS)).alias("_piece"))
-    return trained([r["_piece"] for r in pieces.orderBy("_order", "_piece").limit(SAMPLE_PIECES).collect()])
+    sample = pieces.orderBy("_order", "_piece").limit(SAMPLE_PIECES).coalesce(1)
+    models = sample.mapInPandas(train, "model binary").collect()
+    return pickle.loads(models[0]["model"]) if models else trained([])
 
 
 def tagged(texts: Sequence[str], model: Tagger) -> list[np.ndarray | None]:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from clinlake.llm import pii, tagger
@@ -36,8 +37,14 @@ def by_definition(text):
 
 
 @pytest.fixture(scope="module")
-def model():
-    return pii.trained(["here is a plain piece of text, as any other would be. " * 4])
+def pieces():
+    texts = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["text"])["text"].to_pylist()
+    return [t[k : k + pii.PIECE_CHARS] for t in texts for k in range(0, min(len(t), 4000), 400)]
+
+
+@pytest.fixture(scope="module")
+def model(spark, pieces):
+    return pii.fit(spark.createDataFrame(list(enumerate(pieces[::2])), "doc_id long, text string"))
 
 
 def test_base_rules_on_random_texts():
@@ -80,9 +87,9 @@ def test_decoding_is_the_best_path_and_quiet_windows_have_none(model):
     assert not tags[:, model.quiet(e)].any()
 
 
-def test_held_out_accuracy(model):
+def test_held_out_accuracy(model, pieces):
     rng = np.random.default_rng(99)
-    rows = [pii.example("some other words stand in this piece of text, and then some more of them. " * 3, rng) for _ in range(400)]
+    rows = [pii.example(p, rng) for p in pieces[1:801:2]]
     x, y = (np.stack(part, axis=1) for part in zip(*rows, strict=True))
     found = model.decode(model.emissions(x))
     assert (found == y).mean() > 0.96
