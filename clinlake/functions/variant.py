@@ -242,6 +242,15 @@ def leaf_entries(entries: str) -> Column:
     return F.expr(f"transform({leaves}, e -> {resolved})")
 
 
+def depth_reached(entries: str) -> Column:
+    """struct<level, open> of located entries: the deepest level, and whether a container is left."""
+    size = f"coalesce(cardinality({_object('e.node')}), cardinality({_array('e.node')}))"
+    return F.expr(
+        f"named_struct('level', array_max(transform({quoted(entries)}, e -> e.level)), "
+        f"'open', exists({quoted(entries)}, e -> coalesce({size}, 0) > 0))"
+    )
+
+
 # Steps of a located path: into an object member, and into an array element.
 KEY_STEP = "\u0001k"
 ITEM_STEP = "\u0001i"
@@ -379,6 +388,12 @@ def path_values(leaves: str, column: str, paths: Sequence[str]) -> Column:
     ))
 
 
+def path_map(leaves: str, column: str) -> Column:
+    """One JSON column's paths and texts as a map; NULL where the column has none."""
+    own = f"filter({quoted(leaves)}, e -> e.column = {literal(column)})"
+    return F.expr(_let_sql("own", own, "case when cardinality(own) > 0 then map_from_arrays(own.path, own.text) end"))
+
+
 # -- fields --------------------------------------------------------------------------------------
 
 

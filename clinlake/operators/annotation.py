@@ -1,7 +1,8 @@
 """Text annotation: calling detectors over a table, and normalising their responses.
 
 A response table has ``row_number, api, api_ord, response_json``, one row per source row and api, as
-``annotate`` writes it. The tables made from it read only the parts of the response they need.
+``annotate`` writes it. The tables made from it read only the parts of the response they need. With a column
+``response`` from ``parsed_responses`` instead of the text, nothing is parsed again.
 """
 
 from __future__ import annotations
@@ -14,10 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.operators.rows import first_per_key
+from clinlake.sources.schemas import ANNOTATION_RESPONSE
 
 # Detector names in the order their findings take precedence.
 APIS = ["detect_entities_v2", "detect_phi", "infer_icd10_cm", "infer_rx_norm", "infer_snomed_ct"]
 
+# Rows whose responses a task holds before it hands them on.
+ROWS_AT_ONCE = 64
+
 Detector = Callable[[str], Mapping]
 
 
@@ -40,13 +45,15 @@ def annotate(
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         clients = [detectors[api]() for api in names]
         for batch in batches:
-            results = [_call(detect, row_text) for row_text in batch["_text"] for detect in clients]
-            out = batch.loc[batch.index.repeat(len(clients)), carried].reset_index(drop=True)
-            out["api"] = names * len(batch)
-            out["api_ord"] = list(range(len(names))) * len(batch)
-            out["response_json"] = [response for response, _ in results]
-            out["error"] = [error for _, error in results]
-            yield out
+            for first in range(0, len(batch), ROWS_AT_ONCE):
+                rows = batch.iloc[first : first + ROWS_AT_ONCE].reset_index(drop=True)
+                results = [_call(detect, row_text) for row_text in rows["_text"] for detect in clients]
+                out = rows.loc[rows.index.repeat(len(clients)), carried].reset_index(drop=True)
+                out["api"] = names * len(rows)
+                out["api_ord"] = list(range(len(names))) * len(rows)
+                out["response_json"] = [response for response, _ in results]
+                out["error"] = [error for _, error in results]
+                yield out
 
     kept_types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carried)
     source = df.filter(F.col(text) != "").select(*carried, F.col(text).alias("_text"))
@@ -61,14 +68,32 @@ def _call(detect: Detector, text: str) -> tuple[str | None, str | None]:
 
 
 def detected_entities(df: DataFrame, key: str, text: str, detector: Callable[[], Detector]) -> DataFrame:
-    """Key, text and the array of entity texts found in it; rows with empty text are left out."""
+    """Key, text, the array of entity texts found in it, and the error of a failed call; rows with empty text are left out."""
     responses = annotate(df, key, text, {"detect": detector}, keep=[text])
     found = F.from_json("response_json", "struct<Entities:array<struct<Text:string>>>").getField("Entities")
-    return responses.select(key, text, found.getField("Text").alias("detected_entities"))
+    return responses.select(key, text, found.getField("Text").alias("detected_entities"), "error")
+
+
+def parsed_responses(responses: DataFrame) -> DataFrame:
+    """The response table with its text parsed, as column ``response``."""
+    parsed = F.from_json("response_json", ANNOTATION_RESPONSE).alias("response")
+    return responses.select(*[c for c in responses.columns if c != "response_json"], parsed)
+
+
+def failures(responses: DataFrame) -> DataFrame:
+    """row_number, api, api_ord and error of the calls that failed."""
+    return responses.filter(F.col("error").isNotNull()).select("row_number", "api", "api_ord", "error")
+
+
+def _entities(responses: DataFrame, fields: str) -> Column:
+    """The response's entities, with at least the given fields."""
+    if "response" in responses.columns:
+        return F.col("response.Entities")
+    return F.from_json("response_json", f"struct<Entities:array<struct<{fields}>>>").getField("Entities")
 
 
 def _rest(responses: DataFrame) -> list[str]:
-    return [c for c in responses.columns if c != "response_json"]
+    return [c for c in responses.columns if c not in ("response_json", "response")]
 
 
 def _exploded(df: DataFrame, rest: Sequence[str], items: Column) -> DataFrame:
@@ -84,7 +109,7 @@ def _items(responses: DataFrame, fields: str, items: str, key: Sequence[str], sc
     ``scope="row"`` it counts over all responses of a source row, which takes a shuffle.
     """
     rest = _rest(responses)
-    parsed = F.from_json("response_json", f"struct<Entities:array<struct<{fields}>>>").getField("Entities")
+    parsed = _entities(responses, fields)
     found = responses.select(*rest, parsed.alias("_found")).select(*rest, F.expr(items).alias("_items"))
     if scope == "api":
         first = (
@@ -146,7 +171,7 @@ def _scored_concepts(responses: DataFrame, api: str, field: str, prefix: str) ->
     """Concepts of one api, one row each, repeats kept."""
     fields = f"Id:bigint,{field}:array<struct<Code:string,Description:string,Score:double>>"
     rest = _rest(responses)
-    parsed = F.from_json("response_json", f"struct<Entities:array<struct<{fields}>>>").getField("Entities")
+    parsed = _entities(responses, fields)
     return (
         responses.filter(F.col("api") == api)
         .select(*rest, F.explode_outer(parsed).alias("_entity"))

@@ -62,8 +62,13 @@ def render_rows(df: DataFrame, number: str = "_row_number", name: str = "text")
 
 
 def sum_as_integer(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Global sum of a text column read as integers; text that is no integer counts as NULL."""
-    return df.agg(F.sum(F.col(quoted(column)).try_cast("int")).cast("long").alias(name))
+    """Global sum of a text column read as integers of up to 38 digits, as decimal(38,0).
+
+    Text that is no integer counts as NULL.
+    """
+    text = F.trim(F.col(quoted(column)).cast("string"))
+    whole = F.when(text.rlike(r"^[+-]?[0-9]+$"), text).try_cast("decimal(38,0)")
+    return df.agg(F.sum(whole).cast("decimal(38,0)").alias(name))
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.sources.schemas import CORRUPT_COLUMN
+from clinlake.sources.schemas import CORRUPT_COLUMN, DOCUMENT_COLUMN
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_line: bool = True) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_line: bool = False) -> DataFrame:
     """A folder of delimited files with a header; every column is text.
 
-    ``multi_line`` allows line breaks inside quotes, and then a file is read by one task. Turn it off for
-    extracts without such breaks, so that large files are split.
+    Large files are split. ``multi_line`` allows line breaks inside quotes, and then a file is read by one
+    task; choose it only for extracts with such breaks.
     """
     return (
         spark.read.option("header", True)
@@ -28,7 +28,7 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_l
 
 
 def read_delimited_typed(
-    spark: SparkSession, path: str, schema: str | None = None, delimiter: str = ",", multi_line: bool = True
+    spark: SparkSession, path: str, schema: str | None = None, delimiter: str = ",", multi_line: bool = False
 ) -> DataFrame:
     """Delimited files with types: a declared schema, or inferred ones at the cost of a second read."""
     reader = (
@@ -48,17 +48,23 @@ def read_csv_plain(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
-    """One JSON document or array per file, or one per line without ``multi_line``.
+    """One JSON document or array of documents per file, or per line without ``multi_line``; also in sub-folders.
 
-    The schema is given, so the files are read once. Documents that cannot be read have their text in
-    ``_corrupt_record`` and NULL elsewhere.
+    Each document is kept whole, as a variant in ``_document``, beside the typed columns of ``schema``, which
+    are NULL where the document has nothing of the kind. Text that is no JSON stays in ``_corrupt_record``.
     """
-    return (
-        spark.read.schema(f"{schema}, {CORRUPT_COLUMN} string")
+    read = (
+        spark.read.schema(f"{DOCUMENT_COLUMN} variant, {CORRUPT_COLUMN} string")
+        .option("singleVariantColumn", DOCUMENT_COLUMN)
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("multiLine", multi_line)
+        .option("recursiveFileLookup", True)
         .json(path)
     )
+    documents = F.expr(f"coalesce(try_variant_get({DOCUMENT_COLUMN}, '$', 'array<variant>'), array({DOCUMENT_COLUMN}))")
+    each = read.select(F.explode(documents).alias(DOCUMENT_COLUMN), CORRUPT_COLUMN)
+    typed = each.select(F.from_json(F.to_json(DOCUMENT_COLUMN), schema).alias("_typed"), DOCUMENT_COLUMN, CORRUPT_COLUMN)
+    return typed.select("_typed.*", DOCUMENT_COLUMN, CORRUPT_COLUMN)
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:

@@ -6,14 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinlake.functions.variant import quoted
 from clinlake.operators.rows import render_rows
-from clinlake.session import working_folder
-
-# A frame whose files are larger than this is not brought together into a single file by one task.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 
 def _has_v2_catalog(spark: SparkSession, name: str) -> bool:
     parts = name.split(".")
@@ -38,11 +34,44 @@ def replace_table(df: DataFrame, database: str, name: str, provider: str | None
         df.write.mode("overwrite").format(provider or "parquet").saveAsTable(full)
 
 
+# Each type and the wider ones that hold all of its values exactly.
+_WIDER: dict[type[T.DataType], tuple[type[T.DataType], ...]] = {
+    T.ByteType: (T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
+    T.ShortType: (T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
+    T.IntegerType: (T.LongType, T.DoubleType),
+    T.FloatType: (T.DoubleType,),
+    T.DateType: (T.TimestampNTZType,),
+}
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def keeps_all(given: T.DataType, kept: T.DataType) -> bool:
+    """Whether a column of one type can be cast to another without losing any value."""
+    if given == kept or isinstance(given, T.NullType):
+        return True
+    if isinstance(given, T.StructType) and isinstance(kept, T.StructType):
+        return [f.name for f in given] == [f.name for f in kept] and all(
+            keeps_all(a.dataType, b.dataType) for a, b in zip(given, kept, strict=True)
+        )
+    if isinstance(given, T.ArrayType) and isinstance(kept, T.ArrayType):
+        return keeps_all(given.elementType, kept.elementType)
+    if isinstance(given, T.MapType) and isinstance(kept, T.MapType):
+        return keeps_all(given.keyType, kept.keyType) and keeps_all(given.valueType, kept.valueType)
+    if isinstance(kept, T.DecimalType):
+        if isinstance(given, T.DecimalType):
+            return kept.scale >= given.scale and kept.precision - kept.scale >= given.precision - given.scale
+        return kept.precision - kept.scale >= _DIGITS.get(type(given), 99)
+    if isinstance(kept, T.StringType):
+        return isinstance(given, (T.StringType, T.IntegralType, T.BooleanType, T.DecimalType, T.DateType))
+    return type(kept) in _WIDER.get(type(given), ())
+
+
 def append_or_create(df: DataFrame, database: str, name: str) -> None:
     """Append to the table if it exists, else create it.
 
     Columns are matched by name, without case: one the frame lacks is NULL, and one the table lacks is
-    added to it.
+    added to it. A column is cast to the table's type only where that loses nothing (see ``keeps_all``);
+    otherwise nothing is written and ``TypeError`` names the columns.
     """
     spark = df.sparkSession
     full = f"{database}.{name}"
@@ -55,6 +84,14 @@ def append_or_create(df: DataFrame, database: str, name: str) -> None:
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({columns})")
     given = {f.name.lower(): f.name for f in df.schema}
+    types = {f.name.lower(): f.dataType for f in df.schema}
+    lossy = [
+        f"{f.name} {types[f.name.lower()].simpleString()} into {f.dataType.simpleString()}"
+        for f in spark.table(full).schema
+        if f.name.lower() in types and not keeps_all(types[f.name.lower()], f.dataType)
+    ]
+    if lossy:
+        raise TypeError(f"{full} cannot hold {', '.join(lossy)} without loss")
     aligned = df.select(*[
         (F.col(quoted(given[f.name.lower()])) if f.name.lower() in given else F.lit(None))
         .cast(f.dataType)
@@ -81,23 +118,6 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
     )
 
 
-def write_single_csv(df: DataFrame, path: str, max_bytes: int = SINGLE_FILE_BYTES) -> bool:
-    """CSV with a header as one file, when its size allows; returns whether it is one file.
-
-    The frame is computed once, by all tasks, into the shared working folder. If the result is at most
-    ``max_bytes`` it is copied to ``path`` as one file, and otherwise as one file per task.
-    """
-    spark = df.sparkSession
-    parts = working_folder(spark, "csv-parts")
-    df.write.parquet(parts)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(parts)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    single = system.getContentSummary(folder).getLength() <= max_bytes
-    stored = spark.read.parquet(parts)
-    write_csv(stored.coalesce(1) if single else stored, path)
-    return single
-
-
 def write_row_text(df: DataFrame, path: str, number: str = "_row_number") -> None:
     """Rendered rows as a (row number, text) table: many documents per file, not a file per row."""
     render_rows(df, number).write.mode("overwrite").parquet(path)

@@ -116,6 +116,32 @@ def test_flow_from_rows_to_tables(spark):
     assert {(r.row_number, r.Text, r.row_Text, r.name) for r in found.collect()} == {(1, "a 1", "a 1", None), (2, "b 2", "b 2", "x")}
 
 
+def counting(calls):
+    def open_client():
+        def detect(text):
+            with open(calls, "a") as log:
+                log.write("x")
+            if "bad" in text:
+                raise RuntimeError("refused")
+            return {"Entities": [{"Id": 1, "Text": "t"}]}
+
+        return detect
+
+    return open_client
+
+
+def test_each_text_is_detected_once_and_failures_are_kept(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE paid LOCATION '{tmp_path}/paid'")
+    calls = tmp_path / "calls"
+    rows = spark.createDataFrame([("good",), ("bad",), ("fine",)], "note string")
+    numbered, responses = annotate_rows(rows, {"detect_phi": counting(str(calls))}, ["note"])
+    assert write_annotation_tables(responses, numbered, "paid") == ["comprehend_entities", "comprehend_failures"]
+    assert annotation_tables(responses, numbered)["entities"].count() == 2
+    assert calls.read_text() == "xxx"
+    failed = spark.table("paid.comprehend_failures").collect()
+    assert [(r.note, r.api, r.error) for r in failed] == [("bad", "detect_phi", "RuntimeError: refused")]
+
+
 def test_tables_are_appended_and_empty_ones_left_out(spark, responses, tmp_path):
     spark.sql(f"CREATE DATABASE ann LOCATION '{tmp_path}/ann'")
     rows = responses.select("row_number").distinct().withColumn("case", F.concat(F.lit("k"), "row_number"))

@@ -1,6 +1,7 @@
 """Readers, writers, row numbering and the landing and stage flows."""
 
 import datetime
+import os
 import json
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from clinlake.operators import rows as R
 from clinlake.plans.landing import DELIMITED_TABLES, ingest_all, ingest_resources
 from clinlake.plans.staging import stage_resources
-from clinlake.session import working_folder
+from clinlake.session import stored, working_folder, working_scope
 from clinlake.sources import readers, writers
 from clinlake.sources.schemas import RESOURCES
 
@@ -32,7 +33,7 @@ def database(spark, tmp_path):
 def test_delimited_round_trip(spark, tmp_path, delimiter):
     df = spark.createDataFrame([("1", TEXT), ("2", '{"a":"b,c","d":""}')], "id string, t string")
     writers.write_csv(df, str(tmp_path / "d"), delimiter)
-    back = readers.read_delimited(spark, str(tmp_path / "d"), delimiter)
+    back = readers.read_delimited(spark, str(tmp_path / "d"), delimiter, multi_line=True)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert {f.dataType.simpleString() for f in back.schema} == {"string"}
 
@@ -82,15 +83,39 @@ def test_copy_layer_refuses_one_database(spark, database):
         writers.copy_layer(spark, db, db, ["t"])
 
 
-def test_single_csv_only_within_its_bound(spark, tmp_path):
-    df = spark.range(100).repartition(4)
-    assert writers.write_single_csv(df, str(tmp_path / "s"))
-    assert len(list((tmp_path / "s").glob("part-*"))) == 1
-    assert not writers.write_single_csv(df, str(tmp_path / "m"), max_bytes=10)
+def test_csv_is_one_file_per_task(spark, tmp_path):
+    writers.write_csv(spark.range(100).repartition(4), str(tmp_path / "m"))
     assert len(list((tmp_path / "m").glob("part-*"))) == 4
     assert readers.read_csv_plain(spark, str(tmp_path / "m")).count() == 100
 
 
+@pytest.mark.parametrize(("kept", "given"), [("bigint", "double"), ("date", "timestamp"), ("int", "bigint"), ("double", "string"), ("decimal(5,2)", "decimal(6,2)"), ("array<int>", "array<bigint>")])
+def test_an_append_that_would_lose_values_is_refused(spark, database, kept, given):
+    db = database("keep")
+    writers.replace_table(spark.sql(f"select 1 as k, cast(null as {kept}) as n"), db, "t")
+    with pytest.raises(TypeError, match="n "):
+        writers.append_or_create(spark.sql(f"select 2 as k, cast(null as {given}) as n, 'x' as added"), db, "t")
+    assert spark.table(f"{db}.t").count() == 1
+
+
+@pytest.mark.parametrize(("kept", "given"), [("bigint", "int"), ("double", "float"), ("string", "bigint"), ("decimal(22,2)", "bigint"), ("int", "void")])
+def test_an_append_may_widen(spark, database, kept, given):
+    db = database("widen")
+    writers.replace_table(spark.sql(f"select 1 as k, cast(null as {kept}) as n"), db, "t")
+    writers.append_or_create(spark.sql(f"select 2 as k, cast(null as {given}) as n"), db, "t")
+    assert spark.table(f"{db}.t").count() == 2
+
+
+def test_raw_keeps_whole_documents(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.json").write_text('{"id":"1","gender":"f","birthDate":"2001-01-01","name":[{"family":"X"}]}')
+    (tmp_path / "sub" / "b.json").write_text('[{"id":"2","deceasedBoolean":true},\n {"id":3,"name":[]}]')
+    (tmp_path / "c.json").write_text("[]")
+    rows = readers.read_json_documents(spark, str(tmp_path), RESOURCES["Patient"])
+    found = rows.selectExpr("id", "variant_get(_document, '$.name[0].family', 'string') as family", "variant_get(_document, '$.birthDate', 'string') as born")
+    assert {tuple(r) for r in found.collect()} == {("1", "X", "2001-01-01"), ("2", None, None), ("3", None, None)}
+
+
 def test_ddl_values_and_select(spark, database):
     table = f"{database('ddl')}.t"
     for _ in range(2):
@@ -106,7 +131,7 @@ def test_ingest_all_reports_each_table(spark, database, tmp_path):
     base = str(tmp_path / "landing")
     writers.write_csv(spark.createDataFrame([("1", TEXT)], "id string, t string"), f"{base}/case_data", "|")
     writers.write_csv(spark.createDataFrame([("1",), ("2",)], "id string"), f"{base}/patient_match_hub", ",")
-    outcomes = {r.name: r for r in ingest_all(spark, base, db).collect()}
+    outcomes = {r.name: r for r in ingest_all(spark, base, db, multi_line=["case_data"]).collect()}
     assert set(outcomes) == set(DELIMITED_TABLES)
     assert (outcomes["case_data"].rows, outcomes["case_data"].error) == (1, None)
     assert outcomes["patient_match_hub"].rows == 2
@@ -184,3 +209,12 @@ def test_working_folder_is_the_shared_one(spark):
     base = spark.conf.get("spark.checkpoint.dir", None) or working_folder(spark, "a").split("/clinlake/")[0]
     first, second = working_folder(spark, "p"), working_folder(spark, "p")
     assert first.startswith(base) and first != second
+
+
+def test_a_scope_leaves_nothing_behind(spark):
+    with working_scope(spark):
+        rows = stored(spark.range(3), "scoped")
+        assert rows.count() == 3
+        folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)

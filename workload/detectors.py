@@ -25,5 +25,21 @@ def pattern_detector(pattern: str) -> Callable[[], Callable[[str], Mapping]]:
     return open_client
 
 
+def failing_detector(pattern: str) -> Callable[[], Callable[[str], Mapping]]:
+    """A detector factory whose detector refuses texts that hold the pattern, and finds nothing in others."""
+
+    def open_client() -> Callable[[str], Mapping]:
+        compiled = re.compile(pattern)
+
+        def detect(text: str) -> Mapping:
+            if compiled.search(text):
+                raise ValueError("refused")
+            return {"Entities": []}
+
+        return detect
+
+    return open_client
+
+
 NUMBERS = "[0-9]+"
 WORDS_IN_CAPITALS = "[A-Z][A-Z]+"

@@ -252,7 +252,7 @@ ORACLES: dict[str, str] = {
                'Practitioner/' || role || '|Practitioner/' || conv_id AS participant_individual_reference,
                't' || turn AS period_start, 't' || (turn + 1) AS period_end, 'Encounter' AS resource_type,
                CASE WHEN turn = 0 THEN 'planned' ELSE 'finished' END AS status, 'Patient/' || conv_id AS subject_reference,
-               'generated' AS text_status, substring(text, 1, 20) AS type_text
+               'generated' AS text_status, text AS type_text
         FROM conversations""",
     "stage_dispatch": """
         SELECT 'pat-' || c_custkey AS id,
@@ -312,6 +312,11 @@ ORACLES: dict[str, str] = {
         + (f" WHERE {_HAS_IDENTIFIER}" if column == "identifier" else "")
         for column, path, value in _NESTED_LEAVES
     ),
+    "json_flatten_map": " UNION ALL ".join(
+        f"SELECT event_id, '{column}' AS \"column\", '{path}' AS path, {value} AS value FROM events"
+        + (f" WHERE {_HAS_IDENTIFIER}" if column == "identifier" else "")
+        for column, path, value in _NESTED_LEAVES
+    ),
     "json_discover_keys": " UNION ALL ".join(
         f"SELECT '{column}' AS \"column\", '{path}' AS path" for column, path, _ in _NESTED_LEAVES
     ),
@@ -349,7 +354,8 @@ ORACLES: dict[str, str] = {
               UNION ALL
               SELECT doc_id, 'capitals', 1, regexp_extract_all(text, '[A-Z][A-Z]+') FROM documents WHERE text <> '')""",
     "detected_entities": """
-        SELECT doc_id, text, array_to_string(regexp_extract_all(text, '[0-9]+'), '|') AS detected_entities
+        SELECT doc_id, text, array_to_string(regexp_extract_all(text, '[0-9]+'), '|') AS detected_entities,
+               CAST(NULL AS VARCHAR) AS error
         FROM documents WHERE text <> ''""",
     "annotation_entities": f"SELECT * EXCLUDE (rn_api, rn_row) FROM ({_ENTITIES}) WHERE rn_api = 1",
     "annotation_entities_per_row": f"SELECT * EXCLUDE (rn_api, rn_row) FROM ({_ENTITIES}) WHERE rn_row = 1",
@@ -376,6 +382,10 @@ ORACLES: dict[str, str] = {
               FROM (SELECT row_number, doc_id, lang, regexp_extract_all('doc_id: ' || doc_id || e'\nlang: ' || lang ||
                            e'\ntext: ' || text || e'\n_row_number: ' || row_number, '[0-9]+') AS found
                     FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS row_number FROM documents)))""",
+    "annotation_failures": """
+        SELECT row_number, doc_id, 'detect_phi' AS api, 1 AS api_ord, 'ValueError: refused' AS error
+        FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS row_number FROM documents)
+        WHERE contains(text, '@')""",
     # -- rows
     "row_number": """
         SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS _row_number
@@ -384,7 +394,7 @@ ORACLES: dict[str, str] = {
         SELECT _row_number, 'c_custkey: ' || c_custkey || e'\nc_name: ' || c_name || e'\nc_mktsegment: ' ||
                CASE WHEN c_nationkey = 3 THEN 'None' ELSE c_mktsegment END || e'\n_row_number: ' || _row_number AS text
         FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) AS _row_number FROM customer)""",
-    "cast_sum": "SELECT CAST(sum(o_custkey) AS BIGINT) AS total FROM orders WHERE o_orderstatus <> 'P'",
+    "cast_sum": "SELECT CAST(sum(o_custkey + 3000000000) AS DECIMAL(38,0)) AS total FROM orders WHERE o_orderstatus <> 'P'",
     "row_count": "SELECT count(*) AS n_rows FROM lineitem",
     "distinct_rows": "SELECT DISTINCT l_orderkey, l_returnflag FROM lineitem",
     "filter_eq": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'",
@@ -404,6 +414,19 @@ ORACLES: dict[str, str] = {
     "snapshot_date": """
         SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS timecolumn
         FROM orders""",
+    "snapshot_files": """
+        SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y') || '-01-31' AS timecolumn FROM orders""",
+    "csv_flow": """
+        SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer
+        UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+    "raw_document_copy": """
+        SELECT 'Patient' AS resource, 'p' || c_custkey AS id, c_name AS family FROM customer
+        UNION ALL SELECT 'Location', 'l' || s_suppkey, s_name FROM supplier
+        UNION ALL SELECT 'PractitionerRole', 'r' || n_nationkey, n_name FROM nation""",
+    "statement_flow": """
+        SELECT o_orderkey AS statementid, CAST(o_custkey AS VARCHAR) AS meta_versionid,
+               CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS meta_tag
+        FROM orders""",
     "union_databases": """
         SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey FROM orders""",
     "table_replace": "SELECT o_orderkey, o_orderpriority FROM orders",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,13 @@ from clinlake.operators import text_columns as TC
 from clinlake.plans.annotations import annotate_rows, annotation_tables, write_annotation_tables
 from clinlake.plans.landing import ingest_all, ingest_resources
 from clinlake.plans.staging import stage_resource, stage_resources
-from clinlake.plans.statements import medication_statements as statement_flow
+from clinlake.plans.statements import append_statements
+from clinlake.plans.statements import medication_statements as wide_statements
 from clinlake.session import keep_last_duplicate_key, working_folder
 from clinlake.sources import readers, writers
 from clinlake.sources.schemas import RESOURCES
 from workload import shapes
-from workload.detectors import NUMBERS, WORDS_IN_CAPITALS, pattern_detector
+from workload.detectors import NUMBERS, WORDS_IN_CAPITALS, failing_detector, pattern_detector
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -224,6 +226,15 @@ def json_flatten_long(spark, sf_dir):
     return J.flatten_long(shapes.nested_json(spark, sf_dir), ["event_id"], ["meta", "identifier"])
 
 
+@query
+def json_flatten_map(spark, sf_dir):
+    """The entries of the maps, a row each."""
+    maps = J.flatten_to_map(shapes.nested_json(spark, sf_dir), ["meta", "identifier"])
+    return reduce(DataFrame.unionByName, [
+        maps.select("event_id", F.lit(c).alias("column"), F.explode(c).alias("path", "value")) for c in ("meta", "identifier")
+    ])
+
+
 @query
 def json_discover_keys(spark, sf_dir):
     return J.discover_keys(shapes.nested_json(spark, sf_dir), ["meta", "identifier"])
@@ -261,7 +272,7 @@ def json_shape_probe(spark, sf_dir):
 
 @query
 def medication_statements(spark, sf_dir):
-    return statement_flow(shapes.statements(spark, sf_dir))
+    return wide_statements(shapes.statements(spark, sf_dir))
 
 
 # -- annotation ----------------------------------------------------------------------------------
@@ -285,7 +296,7 @@ def annotate_text(spark, sf_dir):
 def detected_entities(spark, sf_dir):
     documents = shapes.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = A.detected_entities(documents, "doc_id", "text", pattern_detector(NUMBERS))
-    return rows.select("doc_id", "text", F.array_join("detected_entities", "|").alias("detected_entities"))
+    return rows.select("doc_id", "text", F.array_join("detected_entities", "|").alias("detected_entities"), "error")
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,6 +370,16 @@ def annotation_flow(spark, sf_dir):
     return entities.select("row_number", "doc_id", "lang", "Id", F.col("Text").alias("entity_text"))
 
 
+@query
+def annotation_failures(spark, sf_dir):
+    """Calls that failed, with their source row; the other detector's responses are there all the same."""
+    rows = shapes.table(spark, sf_dir, "documents").select("doc_id", "text")
+    detectors = {"detect_entities_v2": pattern_detector(NUMBERS), "detect_phi": failing_detector("@")}
+    numbered, responses = annotate_rows(rows, detectors, ["doc_id"])
+    failed = annotation_tables(responses, numbered.drop("text"))["failures"]
+    return failed.select("row_number", "doc_id", "api", "api_ord", "error")
+
+
 # -- rows ----------------------------------------------------------------------------------------
 
 
@@ -379,7 +400,7 @@ def render_rows(spark, sf_dir):
 @query
 def cast_sum(spark, sf_dir):
     texts = shapes.table(spark, sf_dir, "orders").selectExpr(
-        "case when o_orderstatus = 'P' then concat(o_custkey, 'x') else cast(o_custkey as string) end as case_hub_id"
+        "case when o_orderstatus = 'P' then concat(o_custkey, 'x') else cast(o_custkey + 3000000000 as string) end as case_hub_id"
     )
     return R.sum_as_integer(texts, "case_hub_id", "total")
 
@@ -423,7 +444,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip_pipe(spark, sf_dir):
     path = working_folder(spark, "pipe")
     writers.write_csv(_documents(spark, sf_dir), path, "|")
-    return readers.read_delimited(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return readers.read_delimited(spark, path, multi_line=True).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @query
@@ -433,7 +454,8 @@ def csv_roundtrip_comma(spark, sf_dir):
     writers.write_csv(_documents(spark, sf_dir), f"{base}/documents", "|")
     writers.write_csv(_documents(spark, sf_dir), f"{base}/documents_match", ",")
     database = new_database(spark, "raw")
-    ingest_all(spark, base, database, {"documents": "|", "documents_match": ",", "absent": "|"})
+    tables = {"documents": "|", "documents_match": ",", "absent": "|"}
+    ingest_all(spark, base, database, tables, multi_line=tables)
     both = readers.read_table(spark, database, "documents").withColumn("source_table", F.lit("pipe")).unionByName(
         readers.read_table(spark, database, "documents_match").withColumn("source_table", F.lit("comma"))
     )
@@ -444,7 +466,7 @@ def csv_roundtrip_comma(spark, sf_dir):
 def csv_roundtrip_escaped(spark, sf_dir):
     path = working_folder(spark, "escaped")
     writers.write_csv(_documents(spark, sf_dir), path)
-    return readers.read_delimited_typed(spark, path, "doc_id bigint, text string, lang string")
+    return readers.read_delimited_typed(spark, path, "doc_id bigint, text string, lang string", multi_line=True)
 
 
 @query
@@ -482,6 +504,85 @@ def snapshot_date(spark, sf_dir):
     return orders.select("o_orderkey", readers.snapshot_date(name, "orders").cast("string").alias("timecolumn"))
 
 
+@query
+def snapshot_files(spark, sf_dir):
+    """Snapshot dates from the names of the files that the rows are read from, one file a year."""
+    parts, landing = working_folder(spark, "years"), working_folder(spark, "snapshots")
+    orders = shapes.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderstatus", "year(o_orderdate) as y")
+    orders.repartition("y").write.partitionBy("y").option("header", True).option("sep", "|").csv(parts)
+    source = spark._jvm.org.apache.hadoop.fs.Path(parts)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(landing))
+    for year in system.listStatus(source):
+        if not year.isDirectory():
+            continue
+        files = [f.getPath() for f in system.listStatus(year.getPath()) if f.getPath().getName().endswith(".csv")]
+        for n, file in enumerate(files):
+            name = f"ORDERS_{year.getPath().getName()[2:]}0131_{n}.csv"
+            system.rename(file, spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{name}"))
+    read = readers.read_delimited_typed(spark, landing, "o_orderkey bigint, o_orderstatus string", "|")
+    return readers.with_snapshot_date(read, "orders").withColumn("timecolumn", F.col("timecolumn").cast("string"))
+
+
+@query
+def csv_flow(spark, sf_dir):
+    """Delimited tables landed to raw and copied to stage."""
+    base = working_folder(spark, "extracts")
+    writers.write_csv(shapes.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), f"{base}/client_data", "|")
+    writers.write_csv(shapes.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), f"{base}/patient_match_hub", ",")
+    raw, stage = new_database(spark, "raw"), new_database(spark, "stage")
+    ingest_all(spark, base, raw, {"client_data": "|", "patient_match_hub": ","})
+    writers.copy_layer(spark, raw, stage, ["client_data", "patient_match_hub"])
+    clients = readers.read_table(spark, stage, "client_data").selectExpr("c_custkey as key", "c_name as name")
+    return clients.unionByName(readers.read_table(spark, stage, "patient_match_hub").selectExpr("s_suppkey as key", "s_name as name"))
+
+
+def _write_documents(documents: DataFrame, path: str) -> None:
+    """A file of its own for each value of ``file``: a document, or an array of all that have it."""
+    grouped = documents.groupBy("file").agg(F.collect_list("document").alias("_all"))
+    text = F.when(F.size("_all") == 1, F.to_json(F.get("_all", F.lit(0)))).otherwise(F.to_json("_all"))
+    grouped.select("file", text.alias("value")).write.partitionBy("file").text(path)
+
+
+@query
+def raw_document_copy(spark, sf_dir):
+    """Fields that no projection names, read back from raw: documents landed one per file, and as arrays."""
+    base, raw = working_folder(spark, "whole"), new_database(spark, "raw")
+    frames = {
+        "Patient": ("customer", "c_nationkey", "struct(concat('p', c_custkey) as id, 'male' as gender, struct(c_name as family) as name)"),
+        "Location": ("supplier", "s_nationkey", "struct(concat('l', s_suppkey) as id, s_name as name, array(struct(s_name as family)) as name2)"),
+        "PractitionerRole": ("nation", "n_nationkey", "struct(concat('r', n_nationkey) as id, true as active, struct(n_name as family) as name)"),
+    }
+    for kind, (name, file, document) in frames.items():
+        _write_documents(shapes.table(spark, sf_dir, name).selectExpr(f"{file} as file", f"{document} as document"), f"{base}/{kind}")
+    ingest_resources(spark, base, raw, list(frames))
+    paths = {"Patient": "$.name.family", "Location": "$.name2[0].family", "PractitionerRole": "$.name.family"}
+    return reduce(DataFrame.unionByName, [
+        readers.read_table(spark, raw, kind.lower()).selectExpr(
+            f"'{kind}' as resource", "id", f"variant_get(_document, '{path}', 'string') as family"
+        )
+        for kind, path in paths.items()
+    ])
+
+
+@query
+def statement_flow(spark, sf_dir):
+    """Statements of two databases made wide and appended; the second batch has a key that the first had not."""
+    orders = shapes.table(spark, sf_dir, "orders")
+    first, second, target = (new_database(spark, name) for name in ("first", "second", "wide"))
+    keys = {"F": "named_struct('versionId', cast(o_custkey as string))", "O": "named_struct('versionId', cast(o_custkey as string))"}
+    later = "named_struct('versionId', cast(o_custkey as string), 'tag', o_orderpriority)"
+    for status, database in (("F", first), ("O", second)):
+        batch = orders.filter(F.col("o_orderstatus") == status).selectExpr("o_orderkey as statementid", f"to_json({keys[status]}) as meta")
+        writers.replace_table(batch, database, "statements")
+    append_statements(spark, [first, second], "statements", target, "statements")
+    for status, database in (("P", first), ("X", second)):
+        batch = orders.filter(F.col("o_orderstatus") == status).selectExpr("o_orderkey as statementid", f"to_json({later}) as meta")
+        writers.replace_table(batch, database, "statements")
+    append_statements(spark, [first, second], "statements", target, "statements")
+    return spark.table(f"{target}.statements")
+
+
 @query
 def union_databases(spark, sf_dir):
     """One table in two databases, the second without one of the columns."""
@@ -525,7 +626,7 @@ def copy_layer(spark, sf_dir):
 @query
 def single_csv(spark, sf_dir):
     path = working_folder(spark, "single")
-    writers.write_single_csv(shapes.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), path)
+    writers.write_csv(shapes.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), path)
     return readers.read_csv_plain(spark, path)
 
 
