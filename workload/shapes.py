@@ -24,7 +24,8 @@ def stored(shape: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
         key = (spark.sparkContext.applicationId, sf_dir, shape.__name__)
         if key not in _stored:
             path = working_folder(spark, shape.__name__)
-            shape(spark, sf_dir).write.parquet(path)
+            # The tables come as one small file each; what is stored is spread over the cores, whatever its size.
+            shape(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
             _stored[key] = path
         return spark.read.parquet(_stored[key])
 
