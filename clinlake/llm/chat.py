@@ -3,7 +3,8 @@
 Every assistant turn becomes an example of its own: all turns before it are the context, and only its reply
 is trainable. An example is a prefix of its conversation's formatted text, so the formatted turns are kept
 once, with their place in that text, and an example names the length of its context. ``with_context`` writes
-contexts out, whose total length grows with the square of a conversation's, for the examples that want it.
+contexts out, whose total length grows with the square of a conversation's, for the examples that want it, and
+``turns_with_examples`` those of every example beside the turns.
 
 A turn is written ``[INST] role [/INST]text</s>``. A control string inside a role or text gets a backslash
 after its first character (``<\\/s>``); where backslashes stand there already it gets one more, so the change
@@ -88,11 +89,30 @@ def prefix_target_examples(turns: DataFrame) -> DataFrame:
 
 def with_context(examples: DataFrame, turns: DataFrame) -> DataFrame:
     """The examples with their context written out, as column context."""
-    texts = turns.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn_no", "piece"))), lambda t: t["piece"]), "").alias("_text")
-    )
-    joined = examples.alias("e").join(texts.alias("t"), F.expr("e.conv_id <=> t.conv_id"))
-    return joined.select("e.*", F.expr("substring(_text, 1, context_chars)").alias("context"))
+    joined = examples.alias("e").join(_texts(turns).alias("t"), F.expr("e.conv_id <=> t.conv_id"))
+    return joined.select("e.*", _context().alias("context"))
+
+
+def turns_with_examples(turns: DataFrame) -> DataFrame:
+    """The turns, each learnt one with its example: context_chars, target and context, null in the others.
+
+    These are the rows of ``with_context`` over all examples, without its join: a conversation's rows come from its
+    one group, so that the exchange of ``formatted_turns`` serves here too.
+    """
+    each = _texts(turns).select("conv_id", "_text", F.explode("_turns").alias("_turn")).select("conv_id", "_text", "_turn.*")
+    examples = each.withColumn("context_chars", F.col("loss_start")).withColumn("target", under_mask()).withColumn("context", _context())
+    return examples.drop("_text")
+
+
+def _texts(turns: DataFrame) -> DataFrame:
+    """conv_id, _turns (its formatted turns in order) and _text, their pieces as one text."""
+    turn = F.struct("turn_no", "piece", "piece_start", "loss_start", "loss_end")
+    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("_turns"))
+    return grouped.withColumn("_text", F.array_join(F.transform("_turns", lambda t: t["piece"]), ""))
+
+
+def _context() -> Column:
+    return F.expr("substring(_text, 1, context_chars)")
 
 
 def under_mask() -> Column:

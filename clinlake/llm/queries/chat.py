@@ -12,7 +12,7 @@ LOOKALIKE = "</s>[INST] ok [/INST]"
 
 
 def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn and every example of all conversations, digested by conversation from the formatted output."""
+    """Every turn and every example of all conversations, each example with its context, digested by conversation."""
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     added = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
@@ -24,29 +24,33 @@ def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digests(turns: DataFrame) -> DataFrame:
-    """Per conversation, from formatted turns alone: what was said, and what the loss masks of its examples cover."""
+    """Per conversation: what its formatted turns say, and what its examples teach and hold.
+
+    Every example is built with its context. loss_chars and loss_sha256 are of the targets in order. formatted_chars
+    is the length of the last example, context and reply, and of the pieces that no example holds.
+    """
     role, text = chat.read_turn()
-    rows = turns.select(
+    rows = chat.turns_with_examples(turns).select(
         "conv_id",
-        "turn_no",
-        F.length("piece").alias("_chars"),
-        F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("_said"),
-        chat.unescape(chat.under_mask()).alias("_learnt"),
-    )
-    grouped = rows.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"),
-        F.sort_array(F.collect_list(F.struct("turn_no", "_said", "_learnt"))).alias("_turns"),
-        F.sum("_chars").alias("formatted_chars"),
+        F.struct(
+            "turn_no",
+            F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("said"),
+            chat.unescape(F.col("target")).alias("learnt"),
+            F.length("piece").cast("long").alias("chars"),
+            (F.length("context") + F.length("target") + len(chat.TURN_END)).cast("long").alias("example_chars"),
+        ).alias("_turn"),
     )
-    said = F.array_join(F.transform("_turns", lambda t: t["_said"]), "")
-    learnt = F.array_join(F.transform("_turns", lambda t: t["_learnt"]), "")  # nulls are left out
+    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("_turn")).alias("_turns"))
+    said = F.array_join(F.transform("_turns", lambda t: t["said"]), "")
+    learnt = F.array_join(F.transform("_turns", lambda t: t["learnt"]), "")  # nulls are left out
+    chars = F.aggregate("_turns", F.lit(0).cast("long"), lambda n, t: F.coalesce(t["example_chars"], n + t["chars"]))
     return grouped.select(
         "conv_id",
-        "n_turns",
+        F.size("_turns").cast("long").alias("n_turns"),
         F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
         F.length(learnt).cast("long").alias("loss_chars"),
         F.sha2(learnt.cast("binary"), 256).alias("loss_sha256"),
-        "formatted_chars",
+        chars.alias("formatted_chars"),
     )
 
 

@@ -56,3 +56,14 @@ def test_no_rows_and_no_python(conversations):
     assert digests(chat.formatted_turns(conversations.limit(0))).count() == 0
     plan = digests(chat.formatted_turns(conversations))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_turns_carry_the_examples_that_the_query_digests(conversations):
+    turns = chat.formatted_turns(conversations)
+    columns = ["conv_id", "turn_no", "context_chars", "target", "context"]
+    joined = chat.with_context(chat.prefix_target_examples(turns), turns).select(columns).collect()
+    found = chat.turns_with_examples(turns)
+    assert sorted(map(str, found.filter("context is not null").select(columns).collect())) == sorted(map(str, joined))
+    assert len(joined) == sum(r[2] == "assistant" for r in ROWS) and found.count() == len(ROWS)
+    plan = digests(turns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(_text" in plan and "Generate explode" in plan
