@@ -5,6 +5,12 @@ Its document count is the number of different texts of its host that hold it, so
 once. A line of a host is shared when that count is at least ``MIN_DOCUMENTS`` and above ``MAX_SHARE`` of the
 host's different texts. Shared lines are removed; a document that keeps too little is depleted and rejected.
 
+The texts of a group of near copies differ, so that their count alone would take every line that the copies were not
+edited in, and deplete them all. ``kept_documents`` therefore counts a line a second time, where the depleted texts
+that have the same smallest shared line (by hash) count once. Edited lines are not shared, so that near copies
+agree in it. A line stays removed when this count is above the limits too, as it is for lines that stand in texts
+of another body. ``judged`` does so on request: the SQL of op7 fixes the count of different texts.
+
 Defined results: a null text has no words and fails; a null source is a host of its own; repeated rows are
 judged alike and each is returned; a line without words is never removed; columns other than doc_id, text and
 source are passed through by ``kept_documents`` and ignored otherwise.
@@ -18,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.llm.native import BLANK_RUN, BLANKS, let, without, words_of
+from clinlake.session import stored
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -91,40 +98,75 @@ def _row_key() -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: doc_id, _key, _host, _content, line_no, _line (hash), _words."""
+    """One row per line with a word: doc_id, _key, _host, _content, _text_words, line_no, _line (hash), _words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
+    # Words are counted below the explosion; beside it they would be counted once a line.
+    counted = docs.select("doc_id", "text", "source", F.size(words_of(text)).alias("_text_words"))
+    rows = counted.select(
         "doc_id",
         _row_key().alias("_key"),
         F.coalesce(F.col("source"), F.lit("")).alias("_host"),
         F.xxhash64("text").alias("_content"),
+        "_text_words",
         F.posexplode(F.split(F.lower(text), "\n")).alias("line_no", "_text"),
     )
     normal = rows.withColumn("_text", F.trim(F.regexp_replace("_text", BLANK_RUN, " "), F.lit(BLANKS))).filter("_text != ''")
     return normal.select(
-        "doc_id", "_key", "_host", "_content", "line_no", F.xxhash64("_text").alias("_line"), F.size(F.split("_text", " ")).alias("_words")
+        "doc_id",
+        "_key",
+        "_host",
+        "_content",
+        "_text_words",
+        "line_no",
+        F.xxhash64("_text").alias("_line"),
+        F.size(F.split("_text", " ")).alias("_words"),
     )
 
 
 def shared_lines(docs: DataFrame) -> DataFrame:
     """_host, _line (hash) and n_documents of the lines above the limits."""
+    return _above_limits(docs).select("_host", "_line", "n_documents")
+
+
+def _above_limits(docs: DataFrame) -> DataFrame:
+    """``shared_lines`` with _n, the number of different texts of the host."""
     by_line = _lines(docs).groupBy("_host", "_line").agg(F.count_distinct("_content").alias("n_documents"))
     hosts = docs.select(F.coalesce(F.col("source"), F.lit("")).alias("_host"), F.xxhash64("text").alias("_content"))
     sizes = hosts.groupBy("_host").agg(F.count_distinct("_content").alias("_n"))
     often = by_line.filter(F.col("n_documents") >= MIN_DOCUMENTS)
-    return often.join(sizes, "_host").filter(F.col("n_documents") > MAX_SHARE * F.col("_n")).select("_host", "_line", "n_documents")
+    return often.join(sizes, "_host").filter(F.col("n_documents") > MAX_SHARE * F.col("_n")).select("_host", "_line", "n_documents", "_n")
+
+
+def _once_a_body(found: DataFrame) -> DataFrame:
+    """Lines of documents that are shared -> _host and _line of those that are so with near copies counted once."""
+    # By text: a set, for repeated rows have the same lines.
+    texts = found.groupBy("_host", "_content").agg(
+        F.first("_text_words").alias("_text_words"),
+        F.first("_n").alias("_n"),
+        F.collect_set(F.struct("line_no", "_line", "_words")).alias("_shared"),
+    )
+    gone = F.aggregate("_shared", F.lit(0).cast("long"), lambda a, x: a + x["_words"])
+    depleted = F.col("_text_words") - gone < MIN_LEFT_SHARE * F.col("_text_words")
+    body = F.when(depleted, F.array_min(F.transform("_shared", lambda x: x["_line"]))).otherwise(F.col("_content"))
+    lines = F.explode(F.array_distinct(F.transform("_shared", lambda x: x["_line"])))
+    counted = texts.select("_host", "_n", body.alias("_body"), lines.alias("_line")).groupBy("_host", "_line")
+    bodies = counted.agg(F.count_distinct("_body").alias("_bodies"), F.first("_n").alias("_n"))
+    return bodies.filter((F.col("_bodies") >= MIN_DOCUMENTS) & (F.col("_bodies") > MAX_SHARE * F.col("_n"))).select("_host", "_line")
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, once_a_body: bool = False) -> DataFrame:
     """Per row with shared lines: doc_id, _key, _removed (array of struct line_no, words)."""
-    found = _lines(docs).join(shared_lines(docs), ["_host", "_line"])
+    found = _lines(docs).join(_above_limits(docs), ["_host", "_line"])
+    if once_a_body:
+        found = stored(found, "shared-lines")
+        found = found.join(_once_a_body(found), ["_host", "_line"], "left_semi")
     # A set, for repeated rows have one key.
     return found.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("line_no", F.col("_words").alias("words"))).alias("_removed"))
 
 
-def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
+def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",), once_a_body: bool = False) -> DataFrame:
     """``measures`` with _removed (line numbers), words_left and kept."""
-    m, r = measures(docs, carried).alias("m"), removed_lines(docs).alias("r")
+    m, r = measures(docs, carried).alias("m"), removed_lines(docs, once_a_body).alias("r")
     joined = m.join(r, F.expr("m._key = r._key and m._doc.doc_id <=> r.doc_id"), "left")
     gone = F.coalesce(F.aggregate("_removed", F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.lit(0).cast("long"))
     left = joined.select("m.*", F.transform("_removed", lambda x: x["line_no"]).alias("_removed"), (F.col("n_words") - gone).alias("words_left"))
@@ -135,7 +177,7 @@ def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with; shared lines are gone from text, and n_chars follows."""
     lines = F.filter(F.split(F.col("_doc.text"), "\n"), lambda line, i: ~F.array_contains(F.col("_removed"), i))
-    passed = judged(docs, docs.columns).filter("kept").withColumn(
+    passed = judged(docs, docs.columns, once_a_body=True).filter("kept").withColumn(
         "_text", F.when(F.col("_removed").isNull(), F.col("_doc.text")).otherwise(F.array_join(lines, "\n"))
     )
     changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}

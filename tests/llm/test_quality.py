@@ -74,3 +74,16 @@ def test_a_depleted_document_is_rejected(docs):
 
 def test_no_python(docs):
     assert "Python" not in quality.kept_documents(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_near_copies_keep_their_lines(spark):
+    """50 copies of a text, one of its ten lines edited in each, on a host with 300 texts and a line that 60 of them share."""
+    notice = "all rights reserved by this host"
+    lines = [" ".join(f"c{n}y{m}" for m in range(12)) for n in range(10)] + [notice]
+    copies = [[f"edit {k} " + line if n == k % 10 else line for n, line in enumerate(lines)] for k in range(50)]
+    rows = [(k, "\n".join(copy), "h") for k, copy in enumerate(copies)]
+    rows += [(100 + k, body(100 + k) + ("\n" + notice if k < 60 else ""), "h") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert not [r for r in quality.judged(docs).filter("kept").collect() if r["_doc"].doc_id < 100]
+    kept = {r.doc_id: r.text for r in quality.kept_documents(docs).collect()}
+    assert kept == {k: text.removesuffix("\n" + notice) for k, text, _ in rows}
