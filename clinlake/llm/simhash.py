@@ -108,7 +108,12 @@ def components(docs: DataFrame) -> DataFrame:
 
 def one_per_component(docs: DataFrame) -> DataFrame:
     """The document of each component with the smallest doc_id (then row hash), with the columns it came with."""
-    chosen = components(docs).groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_k"))
+    return first_of_each(docs, components(docs))
+
+
+def first_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The first document of each _root of rows with doc_id, _row and _root."""
+    chosen = rooted.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_k"))
     keys = chosen.select(F.col("_k.doc_id").alias("_id"), F.col("_k._row").alias("_row"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").cast("long").alias("_id"), row_hash().alias("_row"))
     kept = whole.alias("d").join(keys.alias("k"), F.expr("d._row = k._row and d._id <=> k._id"), "left_semi")
