@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.llm import near_copies, packing, quality, secrets, toxicity
+from clinlake.llm import packing, quality, secrets, simhash, toxicity
 from clinlake.llm.queries.bpe import VOCABULARY
 from clinlake.llm.queries.toxicity import fitted
 from clinlake.session import stored
@@ -25,8 +25,8 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, with at least 80 % of their 5-word shingles in common."""
-    return near_copies.one_per_component(docs)
+    """One document of each group whose SimHash fingerprints (3-word shingles) link at 2 or fewer differing bits."""
+    return simhash.one_per_component(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
