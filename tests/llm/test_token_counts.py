@@ -1,6 +1,7 @@
 """Counts by overlapping chunks against the library's count of the whole text."""
 
 import random
+from functools import lru_cache
 
 import public_tokenizers
 import pytest
@@ -45,13 +46,12 @@ def test_an_added_token_over_the_end_of_a_chunk(library):
     for lead in range(30):
         text = "a" * lead + "  <|endoftext|>" + " b" * 30
         for chunk in range(18, 40):
-            assert token_counts.TokenCounter.count_long(small(chunk), text) == library(text)
+            assert small_chunks(chunk).count_long(text) == library(text)
 
 
-def small(chunk, made={}):
-    if chunk not in made:
-        made[chunk] = token_counts.TokenCounter(PATH, chunk, 17)
-    return made[chunk]
+@lru_cache(maxsize=None)
+def small_chunks(chunk):
+    return token_counts.TokenCounter(PATH, chunk, 17)
 
 
 def test_one_giant_word_widens_until_it_fits(library):
