@@ -9,6 +9,9 @@ are spliced at a position where both cut the text between two pre-tokens and whe
 * A cut of the left chunk is that of the whole text when all that could still change it lies in the chunk: the rule's
   look-ahead, and an added token that starts in what it looks at (the longest one's length).
 
+Pre-tokens are encoded by the library, once each as long as a worker remembers their counts. Where a text has a character
+whose class may differ between versions of Unicode, the library cuts it as well, whole chunks at a time.
+
 Tokens never reach over a cut between pre-tokens, so the left chunk gives the tokens up to the splice and the right one
 those behind it. Where no proven cut is common to both (one pre-token fills the overlap), the overlap is doubled; where
 it would fill the left chunk, that chunk is encoded again from its proven start to twice its length.
@@ -22,10 +25,11 @@ one by one; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import json
-import os
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -33,12 +37,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, processors
 
+from clinlake.llm.bpe import library_encoder
+
 #: Characters of a chunk, and of the overlap of two at first.
 CHUNK, OVERLAP = 16_384, 256
 #: The pre-token rule looks this far behind the end of a match: two characters of a contraction, one after blanks.
 LOOK_AHEAD = 3
-#: Texts and characters given to the library at once.
-_TEXTS, _CHARACTERS = 64, 1 << 18
+#: Pre-tokens remembered at most by one worker, and their longest; a full memory starts anew.
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
+#: Characters below this are letters, digits, blanks or none in every version of Unicode.
+_SETTLED = chr(0x250)
 
 TOKEN_LIMIT = 1024
 
@@ -46,14 +54,10 @@ TOKEN_LIMIT = 1024
 class _Chunk:
     """The part of a text from start to end: where its pre-tokens start, and the tokens before each of those places."""
 
-    def __init__(self, tokenizer: Tokenizer, text: str, start: int, end: int):
-        self.start, self.end = start, end
-        found = tokenizer.encode(text[start:end], add_special_tokens=False)
-        words = np.array(found.word_ids, dtype=np.int64)
-        first = np.flatnonzero(np.diff(words, prepend=-1))
-        offsets = found.offsets
-        self.cuts = [start + offsets[k][0] for k in first.tolist()] + [end]
-        self._before = [*first.tolist(), len(words)]
+    def __init__(self, start: int, end: int, lengths: list[int], tokens: list[int]):
+        self.end = end
+        self.cuts = [*accumulate(lengths, initial=start)]
+        self._before = [*accumulate(tokens, initial=0)]
 
     def has(self, cut: int) -> bool:
         at = bisect_left(self.cuts, cut)
@@ -84,46 +88,67 @@ class TokenCounter:
         self._tokenizer.no_padding()
         # Offsets then hold the blank that belongs to a token; ids stay as they are.
         self._tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
+        self._pre_tokens = library_encoder(path).pre_tokens
+        added = sorted((a["content"] for a in spec["added_tokens"]), key=len, reverse=True)
+        self._added = re.compile(f"({'|'.join(map(re.escape, added))})") if added else None
+        self._known: dict[str, int] = {}
         #: How often a pair of chunks had no proven common cut.
         self.widened = 0
 
-    def counts(self, texts: list[str]) -> list[int]:
-        """The number of tokens of each text."""
-        found = [0] * len(texts)
-        batch: list[int] = []
-        size = 0
-        for k, text in enumerate(texts):
-            if len(text) > self.chunk:
-                found[k] = self.count_long(text)
-                continue
-            batch.append(k)
-            size += len(text)
-            if len(batch) == _TEXTS or size >= _CHARACTERS:
-                self._count_batch(texts, batch, found)
-                batch, size = [], 0
-        self._count_batch(texts, batch, found)
-        return found
-
-    def _count_batch(self, texts: list[str], batch: list[int], found: list[int]) -> None:
-        for k, encoding in zip(batch, self._tokenizer.encode_batch_fast([texts[k] for k in batch], add_special_tokens=False), strict=True):
-            found[k] = len(encoding)
+    def _learn(self, word: str) -> int:
+        n = len(self._tokenizer.encode(word, add_special_tokens=False))
+        if len(self._known) >= REMEMBERED:
+            self._known.clear()
+        if len(word) <= REMEMBERED_LENGTH:
+            self._known[word] = n
+        return n
+
+    def _words(self, text: str) -> list[str] | None:
+        """The pre-tokens and added tokens of a text, or None where only the library can tell."""
+        if not text.isascii() and max(text) >= _SETTLED:
+            return None
+        if self._added is None or not self._added.search(text):
+            return self._pre_tokens(text)
+        # Every second part of the split is an added token.
+        return [word for k, part in enumerate(self._added.split(text)) for word in ([part] if k % 2 else self._pre_tokens(part))]
+
+    def _tokens(self, words: list[str]) -> list[int]:
+        known, learn = self._known, self._learn
+        return [n if (n := known.get(word)) is not None else learn(word) for word in words]
+
+    def count(self, text: str) -> int:
+        """The tokens of a text."""
+        if len(text) > self.chunk:
+            return self.count_long(text)
+        words = self._words(text)
+        return len(self._tokenizer.encode(text, add_special_tokens=False)) if words is None else sum(self._tokens(words))
+
+    def _encoded(self, text: str, start: int, end: int) -> _Chunk:
+        words = self._words(text[start:end])
+        if words is not None:
+            return _Chunk(start, end, list(map(len, words)), self._tokens(words))
+        found = self._tokenizer.encode(text[start:end], add_special_tokens=False)
+        first = np.flatnonzero(np.diff(np.array(found.word_ids, dtype=np.int64), prepend=-1)).tolist()
+        offsets = found.offsets
+        at = [offsets[k][0] for k in first]
+        return _Chunk(start, end, np.diff([*at, end - start]).tolist(), np.diff([*first, len(found)]).tolist())
 
     def count_long(self, text: str) -> int:
         """The tokens of one text, chunk by chunk."""
         total = proven = 0
-        left = _Chunk(self._tokenizer, text, 0, min(self.chunk, len(text)))
+        left = self._encoded(text, 0, min(self.chunk, len(text)))
         while left.end < len(text):
             overlap, cut = self.overlap, None
             while cut is None:
                 if overlap < left.end - proven:
                     end = min(left.end + self.chunk - self.overlap, len(text))
-                    right = _Chunk(self._tokenizer, text, left.end - overlap, end)
+                    right = self._encoded(text, left.end - overlap, end)
                     cut = self._common_cut(left, right, proven)
                 if cut is None:
                     self.widened += 1
                     overlap *= 2
                     if overlap >= left.end - proven:
-                        left = _Chunk(self._tokenizer, text, proven, min(left.end + max(self.chunk, left.end - proven), len(text)))
+                        left = self._encoded(text, proven, min(left.end + max(self.chunk, left.end - proven), len(text)))
                         break
             if cut is not None:
                 total += left.before(cut) - left.before(proven)
@@ -142,8 +167,7 @@ class TokenCounter:
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> TokenCounter:
-    """One per worker and file; a task has one core, so the library must not start threads of its own."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    """One per worker and file."""
     return TokenCounter(path)
 
 
@@ -154,7 +178,7 @@ def token_count(text: Column, path: str) -> Column:
     def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = counter(path)
         for series in texts:
-            yield pd.Series(own.counts(series.tolist()), dtype="int64")
+            yield pd.Series(list(map(own.count, series)), dtype="int64")
 
     return of_texts(F.coalesce(text, F.lit("")))
 

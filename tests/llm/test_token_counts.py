@@ -24,10 +24,12 @@ def test_random_texts_in_small_chunks(library):
     rng = random.Random(11)
     parts = [*"ab'sS  \n\t\r1²éßÀ٣中😀́_#!", "<|endoftext|>", "<|endof", "text|>", "'ll", "'re", "the ", "    ", "supercalifragilistic"]
     counters = [token_counts.TokenCounter(PATH, chunk, overlap) for chunk, overlap in ((18, 17), (24, 17), (60, 20), (200, 40))]
-    for _ in range(1500):
-        text = "".join(rng.choices(parts, k=rng.randint(0, 160)))
+    for k in range(2000):
+        # Every other text is one whose characters all versions of Unicode know.
+        text = "".join(p for p in rng.choices(parts, k=rng.randint(0, 160)) if k % 2 or p < "\u0250")
         for own in counters:
             assert own.count_long(text) == library(text), repr(text)
+            assert own.count(text) == library(text), repr(text)
     assert all(own.widened for own in counters)
 
 
@@ -38,7 +40,8 @@ def test_random_texts_in_small_chunks(library):
     ids=lambda text: repr(text[:8]),
 )
 def test_long_texts(library, text):
-    assert token_counts.counter(PATH).counts([text, "", text[:70]]) == [library(text), 0, library(text[:70])]
+    own = token_counts.counter(PATH)
+    assert list(map(own.count, [text, "", text[:70]])) == [library(text), 0, library(text[:70])]
 
 
 def test_an_added_token_over_the_end_of_a_chunk(library):
@@ -54,6 +57,13 @@ def small_chunks(chunk):
     return token_counts.TokenCounter(PATH, chunk, 17)
 
 
+def test_memory_starts_anew(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    own = token_counts.TokenCounter(PATH)
+    text = "one two three four one two " + "w" * 100
+    assert own.count(text) == library(text) and len(own._known) <= 3
+
+
 def test_one_giant_word_widens_until_it_fits(library):
     own = token_counts.TokenCounter(PATH, 64, 17)
     text = "one two " + "abc" * 700 + " three"
