@@ -2,8 +2,9 @@
 
 The regexes of all rules become one minimal deterministic automaton, kept as transition arrays. One pass over the
 bytes of a text tells which rules match somewhere; most texts end there. For a rule that does match, an
-automaton of the reversed rule, run from the end, marks where its matches begin, and an anchored one takes the longest
-match from the first of them, then from the first behind that one, and so on.
+automaton of the whole rule reversed, run from the end, marks where its matches begin, and an anchored one takes the
+longest match from the first of them, then from the first behind that one, and so on. Every marked place has a match,
+and from a match the rules either go on matching or end, so the time is in proportion to the text, whatever it holds.
 
 The combined automaton holds the beginnings of the rules, without open repeats at their ends, which would multiply
 its states; added rules end at their first repeat. That can only let more texts through to the exact step, and
@@ -67,7 +68,7 @@ class SecretScanner:
             rule.tree = beginning(rule.tree, None if k < len(BASE_RULES) else SHORT_REPEAT)
         self.combined = Automaton(weak, floating=True)
         self._forward = [Automaton([r], floating=False) for r in exact]
-        self._backward = [Automaton([r], floating=True, backwards=True) for r in weak]
+        self._backward = [Automaton([r], floating=True, backwards=True) for r in exact]
         self._assign = re.compile(ASSIGN.encode())
 
     def matching_rules(self, data: bytes) -> frozenset[int]:
