@@ -6,9 +6,11 @@ segment tree indexed by remaining capacity finds.
 
 The outcome depends on the lengths alone, of which there are at most as many as a window has tokens. So only
 the count of each length is gathered, the best fit is worked out for runs of equal pieces over runs of equal
-windows, and each piece finds its place in that plan by its rank among the pieces of its length. Ranks are counted
-in ``SALTS`` salted groups a length, so that no length, however common, is one task. What reaches the driver is at
-most ``WINDOW * SALTS`` counts, at any size of the corpus; the packing is that of one global best fit.
+windows, and each piece finds its place in that plan by its rank among the pieces of its length. A full window is a
+sequence by itself and needs no rank: it is numbered where it lies. The others are ranked in salted groups of about
+``GROUP_ROWS`` pieces and at least ``SALTS`` groups a length, so that no length, however common, is one task. What reaches
+the driver is one count a length, at any size of the corpus; the packing is that of one global best fit. Sequence ids are
+distinct, but not without gaps.
 
 Defined results: a null or empty text is a piece of one token, the end mark; repeated rows are packed each; an empty
 table has no pieces; other columns are ignored.
@@ -30,6 +32,7 @@ from clinlake.session import stored
 WINDOW = 2048
 END_ID = 1
 SALTS = 32
+GROUP_ROWS = 1 << 16
 
 
 def pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -128,30 +131,38 @@ def best_fit_decreasing(counts: dict[int, int], window: int = WINDOW) -> list[tu
 
 def place(rows: DataFrame) -> DataFrame:
     """Pieces (doc_id, start, length and any others) with sequence_id and offset, the place of each."""
-    own = [c for c in rows.columns if c not in ("doc_id", "start")]
-    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int")
-    kept = stored(rows.withColumn("_salt", salt), "pieces")
-    groups = {(r["length"], r["_salt"]): r["count"] for r in kept.groupBy("length", "_salt").count().collect()}
-    before, counts = {}, {}
-    for (length, of_salt), n in sorted(groups.items()):
-        before[length, of_salt] = counts.get(length, 0)
-        counts[length] = counts.get(length, 0) + n
-    plan = np.array(sorted(best_fit_decreasing(counts)), dtype=np.int64).reshape(-1, 5)
-    offsets = np.zeros((WINDOW + 1, SALTS), dtype=np.int64)
-    for (length, of_salt), n in before.items():
-        offsets[length, of_salt] = n
-    shared = rows.sparkSession.sparkContext.broadcast((plan, offsets))
-    in_group = Window.partitionBy("length", "_salt").orderBy("doc_id", "start", *own)
-    ranked = kept.withColumn("_rank", F.row_number().over(in_group).cast("long") - 1)
+    # Stored, so that a piece keeps its number, by which equal pieces are told apart.
+    kept = stored(rows.withColumn("_at", F.monotonically_increasing_id()), "pieces")
+    counts = {r["length"]: r["count"] for r in kept.groupBy("length").count().collect()}
+    full = kept.filter(F.col("length") == WINDOW).drop("_at")
+    # No packing has more sequences than pieces, so ids from there on are free.
+    alone = full.withColumn("sequence_id", F.monotonically_increasing_id() + sum(counts.values())).withColumn("offset", F.lit(0).cast("long"))
+    return _placed_by_rank(_ranked(kept.filter(F.col("length") < WINDOW), counts), rows, counts).unionByName(alone)
+
+
+def _ranked(kept: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Pieces with _rank, from 0, among those of their length."""
+    salts = F.lit([max(SALTS, -(-counts.get(length, 0) // GROUP_ROWS)) for length in range(WINDOW)])
+    salted = kept.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.get(salts, F.col("length").cast("int"))))
+    groups = salted.groupBy("length", "_salt").count()
+    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    starts = groups.select("length", "_salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    in_group = Window.partitionBy("length", "_salt").orderBy("_at")
+    ranked = salted.withColumn("_n", F.row_number().over(in_group))
+    return ranked.join(starts, ["length", "_salt"]).withColumn("_rank", F.col("_before") + F.col("_n") - 1)
+
+
+def _placed_by_rank(ranked: DataFrame, rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    plan = np.array(sorted(best_fit_decreasing({s: n for s, n in counts.items() if s < WINDOW})), dtype=np.int64).reshape(-1, 5)
+    shared = rows.sparkSession.sparkContext.broadcast(plan)
     columns = list(rows.columns)
     schema = StructType(list(rows.schema.fields)).add("sequence_id", LongType()).add("offset", LongType())
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, starts = shared.value
+        runs = shared.value
         first_of_length = np.searchsorted(runs[:, 0], np.arange(WINDOW + 2))
         for batch in batches:
-            length, of_salt = (np.asarray(batch[c]) for c in ("length", "_salt"))
-            rank = np.asarray(batch["_rank"]) + starts[length, of_salt]
+            length, rank = (np.asarray(batch[c]) for c in ("length", "_rank"))
             run = np.empty(len(rank), dtype=np.int64)
             for size in np.unique(length):
                 here = length == size
@@ -162,4 +173,4 @@ def place(rows: DataFrame) -> DataFrame:
             found = [pa.array(first_window + behind // each), pa.array(offset + behind % each * length)]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), *found], [*columns, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(of_batches, schema)
+    return ranked.select(*columns, "_rank").mapInArrow(of_batches, schema)

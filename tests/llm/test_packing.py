@@ -88,3 +88,13 @@ def test_edge_cases(spark):
     assert sum(r.start == 0 for r in placed) == len(rows)
     assert all(len(r.ids) == 4 * r.length for r in placed)
     assert packing.place(packing.pieces(docs.limit(0), VOCABULARY)).count() == 0
+
+
+def test_groups_follow_the_count_of_a_length(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SALTS", 2)
+    monkeypatch.setattr(packing, "GROUP_ROWS", 50)
+    docs = spark.createDataFrame([(None, "the same text") for _ in range(700)] + [(k, "word " * 5000) for k in range(6)], "doc_id long, text string")
+    placed = packing.place(packing.pieces(docs, VOCABULARY)).collect()
+    sequences = check_places(placed)
+    assert sum(r.doc_id is None for r in placed) == 700 and sum(r.length == packing.WINDOW for r in placed) == 12
+    assert sum(r.length for r in placed) > packing.WINDOW * (len(sequences) - 1) * 0.9
