@@ -114,7 +114,12 @@ def one_per_component(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
     """The first document of each _root of rows with doc_id, _row and _root."""
     chosen = rooted.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_k"))
-    keys = chosen.select(F.col("_k.doc_id").alias("_id"), F.col("_k._row").alias("_row"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").cast("long").alias("_id"), row_hash().alias("_row"))
-    kept = whole.alias("d").join(keys.alias("k"), F.expr("d._row = k._row and d._id <=> k._id"), "left_semi")
-    return kept.dropDuplicates(["_id", "_row"]).select("_doc.*")
+    keys = chosen.select(*_identity(F.col("_k.doc_id"), F.col("_k._row")))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_identity(F.col("doc_id").cast("long"), row_hash()))
+    # The join and the removal of repeats have the same keys, so the texts are shuffled once.
+    names = ["_null", "_id", "_row"]
+    return whole.join(keys, names, "left_semi").dropDuplicates(names).select("_doc.*")
+
+
+def _identity(doc_id: Column, row: Column) -> list[Column]:
+    return [doc_id.isNull().alias("_null"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("_id"), row.alias("_row")]
