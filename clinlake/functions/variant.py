@@ -61,6 +61,49 @@ def repair_key_value(text: Column) -> Column:
     return F.regexp_replace(text, _KEY_VALUE, _KEY_VALUE_AS_JSON)
 
 
+# Around values of nested key=value text while it is rewritten; text that holds them is not read.
+_VALUE_START, _VALUE_END = "\u0001", "\u0002"
+_PAIR_START = r"([{,]\s*)(\w+)="
+# A scalar goes on until the next pair of its object, or the object's end; it holds no brackets.
+_SCALAR_PAIR = _PAIR_START + r"\s*+(?![{\[])([^{}\[\]\x01\x02]*?)\s*(?=,\s*\w+=|\})"
+_CONTAINER_PAIR = _PAIR_START + r"\s*(?=[{\[])"
+# A bare scalar in an array, between commas.
+_BARE_ITEM = r'([\[,]\s*)(?![\s"])([^{}\[\],"]+?)(?=\s*[,\]])'
+
+
+def _json_string(value: str) -> str:
+    for plain, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        value = f"replace({value}, {literal(plain)}, {literal(code)})"
+    return f"concat('\"', {value}, '\"')"
+
+
+def _nested_key_value(text: str) -> str:
+    """SQL for key=value text of any depth as JSON text; what it cannot make sense of is no JSON afterwards.
+
+    Brackets are structure throughout, so pairs are told apart by what stands before and behind them, at every depth
+    in the same pass. Values are marked first, then the text is cut at the marks: values are escaped, and in the structure
+    between them bare array items are put in quotes.
+    """
+    scalars = f"regexp_replace({text}, {literal(_SCALAR_PAIR)}, {literal(f'$1"$2":{_VALUE_START}$3{_VALUE_END}')})"
+    marked = f"regexp_replace({scalars}, {literal(_CONTAINER_PAIR)}, {literal('$1"$2":')})"
+    marks = literal(f"[{_VALUE_START}{_VALUE_END}]")
+    items = f"regexp_replace(v, {literal(_BARE_ITEM)}, {literal(f'$1{_VALUE_START}$2{_VALUE_END}')})"
+    in_structure = f"array_join(transform(split({items}, {marks}), (w, j) -> if(j % 2 = 1, {_json_string('w')}, w)), '')"
+    parts = f"transform(split({marked}, {marks}), (v, i) -> if(i % 2 = 1, {_json_string('v')}, {in_structure}))"
+    return f"case when not regexp_like({text}, {marks}) then array_join({parts}, '') end"
+
+
+def repair_nested_key_value(column: str) -> Column:
+    """``{a=x, b={c=[d, e]}}`` in ``column`` as ``{"a":"x","b":{"c":["d","e"]}}``, to any depth.
+
+    JSON inside it stays, but for numbers and words in arrays, which become strings as all scalars of key=value text do.
+    Keys are words after ``{`` or a comma. Scalars have no blanks at their ends. A value of an object goes on
+    to the next pair, so it may hold commas and ``=``, but not a comma followed by a word and ``=``; an array's item ends
+    at a comma and holds no quotes. Brackets inside values are structure. Text with unbalanced brackets gives no JSON.
+    """
+    return F.expr(_let_sql("t", quoted(column), _nested_key_value("t")))
+
+
 def _parse_strict(text: str) -> str:
     # Most text that is no JSON shows it at the start; testing that is far cheaper than a failed parse.
     likely = f"case when regexp_like({text}, {literal(_JSON_START)}) then {text} end"
@@ -74,15 +117,24 @@ def _parse_strict(text: str) -> str:
     )
 
 
-def _parse_lenient(text: str) -> str:
+# Text whose pairs hold objects or arrays.
+_NESTED_PAIR = r"=\s*[{\[]"
+
+
+def _parse_lenient(text: str, nested: bool = False) -> str:
     wrapped = "(length(t) > 1 and startswith(t, '\"') and endswith(t, '\"'))"
     bare = f"if({wrapped}, substr(t, 2, length(t) - 2), t)"
     single = "replace(b, '\"\"', '\"')"
-    repaired = f"regexp_replace({single}, {literal(_KEY_VALUE)}, {literal(_KEY_VALUE_AS_JSON)})"
+    flat = _let_sql("s", f"regexp_replace({single}, {literal(_KEY_VALUE)}, {literal(_KEY_VALUE_AS_JSON)})", _parse_strict("s"))
+    key_value = flat
+    if nested:
+        deep = _let_sql("s", _let_sql("r", single, _nested_key_value("r")), _parse_strict("s"))
+        # The flat repair would take the beginning of a container for a text.
+        key_value = f"if(regexp_like(t, {literal(_NESTED_PAIR)}), coalesce({deep}, {flat}), coalesce({flat}, {deep}))"
     attempts = (
         f"coalesce(case when not {wrapped} then {_parse_strict('t')} end, "
         f"case when {wrapped} or contains(t, '\"\"') then {_let_sql('s', single, _parse_strict('s'))} end, "
-        f"case when contains(t, '=') then {_let_sql('s', repaired, _parse_strict('s'))} end)"
+        f"case when contains(t, '=') then {key_value} end)"
     )
     trimmed = f"trim(both ' \\t\\n\\r' from {text})"
     return _let_sql("t", trimmed, f"case when t != '' and t != 'null' then {_let_sql('b', bare, attempts)} end")
@@ -93,14 +145,74 @@ def parse_json_strict(column: str) -> Column:
     return F.expr(_let_sql("t", quoted(column), _parse_strict("t")))
 
 
-def parse_json_lenient(column: str) -> Column:
-    """JSON, quote-wrapped JSON with doubled quotes, or flat key=value text, as a variant.
+def parse_json_lenient(column: str, nested: bool = False) -> Column:
+    """JSON, quote-wrapped JSON with doubled quotes, or key=value text, as a variant.
 
     NULL, blank, ``null`` and text that cannot be read give NULL. Attempts, in order: the text itself
-    (unwrapped first when it is in quotes), with doubled quotes undone, with key=value pairs repaired.
+    (unwrapped first when it is in quotes), with doubled quotes undone, with key=value pairs repaired. Pairs are
+    those of flat objects; with ``nested`` their values may be objects and arrays too, see ``repair_nested_key_value``.
     Repeated keys need ``session.keep_last_duplicate_key``.
     """
-    return F.expr(_parse_lenient(quoted(column)))
+    return F.expr(_parse_lenient(quoted(column), nested))
+
+
+# -- shapes --------------------------------------------------------------------------------------
+# The shape of a document is its text with every scalar replaced by one mark. Only scalars that JSON allows are
+# replaced, so that a shape is JSON exactly where its document is. What names columns stays: keys, the urls of
+# extensions, and the type in a text that refers to a resource.
+
+_STRING = r'"(?:[^"\\\x00-\x1f]|\\["\\/bfnrt])*+"'
+_OTHER_THAN_REFERENCE = r'"(?:(?!reference=)(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]))*+"'
+_ANY_STRING = r'"(?:[^"\\]|\\(?s:.))*+"'
+_LITERAL = r"(?:-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?(?=[\s,}\]]|$)|(?:true|false|null)(?![A-Za-z0-9_]))"
+_MARK = "\u0001"
+#: A reference is told apart by the type alone, if nothing else in its text is one.
+_REFERENCE_TEXT = r'"reference=(\w+)/[^"\\\x00-\x1f/,= ]+(?:,(?:(?!reference=)[^"\\\x00-\x1f])*)?"(?!\s*:)'
+
+
+def _kept_or_scalar(scalar: str) -> str:
+    """What is kept is in the groups: urls, keys, and in the end strings that are neither these nor scalars to replace."""
+    return rf'("url"\s*:\s*(?:{_STRING}|{_LITERAL})|{_ANY_STRING}\s*:)|{scalar}|{_LITERAL}|({_ANY_STRING})'
+
+
+def _shape(text: str) -> str:
+    """SQL for the shape of JSON text. The mark goes before what is kept as well, and is taken away there again."""
+    plain = f"regexp_replace({text}, {literal(_kept_or_scalar(_STRING))}, {literal(_MARK + '$1$2')})"
+    short = f"regexp_replace({text}, {literal(_REFERENCE_TEXT)}, {literal('"reference=$1/x"')})"
+    referring = f"regexp_replace({short}, {literal(_kept_or_scalar(_OTHER_THAN_REFERENCE))}, {literal(_MARK + '$1$2')})"
+    marked = f"if(contains({text}, 'reference='), {referring}, {plain})"
+    return f"replace(replace({marked}, {literal(_MARK + '"')}, '\"'), {literal(_MARK)}, 'true')"
+
+
+def shape_of(column: str) -> Column:
+    """struct<shape, more> of lenient JSON text in ``column``; NULL where there is no document.
+
+    The shape is that of the first form of the text that can be JSON: the text itself, with doubled quotes undone, or with
+    flat key=value pairs repaired. ``more`` says that another form is left to try should the shape turn out not to be JSON.
+    """
+    wrapped = "(length(t) > 1 and startswith(t, '\"') and endswith(t, '\"'))"
+    bare = f"if({wrapped}, substr(t, 2, length(t) - 2), t)"
+    single = "replace(b, '\"\"', '\"')"
+    repaired = f"regexp_replace({single}, {literal(_KEY_VALUE)}, {literal(_KEY_VALUE_AS_JSON)})"
+
+    def form(shape: str, more: str) -> str:
+        return f"named_struct('shape', {shape}, 'more', {more})"
+
+    def if_json(text: str, more: str) -> str:
+        # An equals sign outside strings is never JSON.
+        no_pairs = f"not contains(s, '=') or not contains(regexp_replace(s, {literal(_ANY_STRING)}, ''), '=')"
+        return _let_sql("s", _shape(text), f"case when {no_pairs} then {form('s', more)} end")
+
+    def started(text: str, body: str) -> str:
+        return f"case when regexp_like({text}, {literal(_JSON_START)}) then {body} end"
+
+    pairs, doubled = "contains(t, '=')", "contains(t, '\"\"')"
+    first = f"case when not {wrapped} then {started('t', if_json('t', f'{pairs} or {doubled}'))} end"
+    second = f"case when {wrapped} or {doubled} then {_let_sql('u', single, started('u', if_json('u', pairs)))} end"
+    third = f"case when {pairs} then {_let_sql('u', repaired, started('u', form(_shape('u'), 'false')))} end"
+    forms = f"if(contains(t, {literal(_MARK)}), {form('t', 'true')}, coalesce({first}, {second}, {third}))"
+    trimmed = f"trim(both ' \\t\\n\\r' from cast({quoted(column)} as string))"
+    return F.expr(_let_sql("t", trimmed, f"case when t != '' and t != 'null' then {_let_sql('b', bare, forms)} end"))
 
 
 # -- flattening ----------------------------------------------------------------------------------
@@ -128,17 +240,36 @@ def _entry(path: str, node: str, role: str, text: str = "cast(null as string)",
     )
 
 
-def root_entries(columns: Sequence[str]) -> Column:
-    """The documents of the given text columns, parsed, as the first array of entries."""
-    documents = ", ".join(
-        f"named_struct('column', {literal(c)}, 'text', cast({quoted(c)} as string))" for c in columns
-    )
-    parsed = _entry(
-        "e.column", _parse_lenient("e.text"), "if(e.column = 'extension', 'extension', 'root')", level="0"
-    )
-    return F.expr(
-        f"filter(transform(array({documents}), e -> {parsed}), e -> e.node is not null and not is_variant_null(e.node))"
-    )
+def root_entries(columns: Sequence[str], nested: Sequence[str] = ()) -> Column:
+    """The documents of the given text columns, parsed, as the first array of entries.
+
+    Columns listed in ``nested`` may hold nested key=value text.
+    """
+
+    def documents(names: Sequence[str], deep: bool) -> str:
+        texts = ", ".join(f"named_struct('column', {literal(c)}, 'text', cast({quoted(c)} as string))" for c in names)
+        return f"transform(array({texts}), e -> {_root(_parse_lenient('e.text', deep))})"
+
+    parts = [
+        documents(names, deep)
+        for deep in (False, True)
+        if (names := [c for c in columns if (c in nested) == deep])
+    ]
+    return F.expr(_documents(f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0]))
+
+
+def root_entry(column: str, node: str) -> Column:
+    """The document in column ``node`` of the JSON column that ``column`` names, as an array of at most one entry."""
+    entry = f"named_struct('column', {quoted(column)})"
+    return F.expr(_documents(f"transform(array({entry}), e -> {_root(quoted(node))})"))
+
+
+def _root(node: str) -> str:
+    return _entry("e.column", node, "if(e.column = 'extension', 'extension', 'root')", level="0")
+
+
+def _documents(entries: str) -> str:
+    return f"filter({entries}, e -> e.node is not null and not is_variant_null(e.node))"
 
 
 def _extension_pairs(node: str) -> str:

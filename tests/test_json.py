@@ -190,3 +190,106 @@ def test_flattening_plan_has_no_python_and_no_shuffle(spark):
     df = spark.createDataFrame([(1, '{"a":1}')], "i int, c string")
     plan = J.flatten_to_columns(df, ["c"])._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("{a={b={c={d={e=5}}}}}", {"a": {"b": {"c": {"d": {"e": "5"}}}}}),
+        ("{text=one, two, route={code=1, display=x, y}}", {"text": "one, two", "route": {"code": "1", "display": "x, y"}}),
+        ("{a=x=y, b={c=p=q}}", {"a": "x=y", "b": {"c": "p=q"}}),
+        ("[{a=[x, y z,w], b=[]}, {c={}, d=}]", [{"a": ["x", "y z", "w"], "b": []}, {"c": {}, "d": ""}]),
+        ("{a=[[x, y], [{z=1}], w]}", {"a": [["x", "y"], [{"z": "1"}], "w"]}),
+        ('{a={b=5" \\ pipe}}', {"a": {"b": '5" \\ pipe'}}),
+        ("{a={b=line\nbreak\tx}}", {"a": {"b": "line\nbreak\tx"}}),
+        ('{a=[{"j":"k, l","n":5}], b=x}', {"a": [{"j": "k, l", "n": 5}], "b": "x"}),
+        ('"{a={b=""q"" r}}"', {"a": {"b": '"q" r'}}),
+        ('{"a":{"b":"x=1, y=2"}}', {"a": {"b": "x=1, y=2"}}),
+        ("{a=1, b=2}", {"a": "1", "b": "2"}),
+        ("{a={b=1}}, x=2}", None),
+        ("{a=[x}]", None),
+        ("{a={b=\u0001}}", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_nested_key_value(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    found = df.select(F.to_json(V.parse_json_lenient("t", nested=True)).alias("r")).first().r
+    assert (None if found is None else json.loads(found)) == expected
+
+
+def printed(value):
+    if isinstance(value, dict):
+        return "{" + ", ".join(f"{k}={printed(v)}" for k, v in value.items()) + "}"
+    return "[" + ", ".join(map(printed, value)) + "]" if isinstance(value, list) else value
+
+
+words = st.text("ab \\'.:=-é", min_size=1, max_size=6).map(str.strip).filter(bool)
+quoting = st.text('ab"\\,', min_size=1, max_size=4).filter(lambda t: '""' not in t)  # a doubled quote is one quote
+cells = st.recursive(
+    words,
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["q"]), quoting, max_size=1) | st.dictionaries(st.sampled_from(["k", "l2", "m_n"]), inner, max_size=3),
+    max_leaves=12,
+).filter(lambda v: isinstance(v, dict))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(cells, min_size=1, max_size=30))
+def test_nested_key_value_agrees_with_what_was_printed(spark, values):
+    # Flat text is read as before, by the repair of flat pairs.
+    values = [{"k": v} for v in values]
+    df = spark.createDataFrame([(i, printed(v)) for i, v in enumerate(values)], "i int, t string")
+    rows = df.select("i", F.to_json(V.parse_json_lenient("t", nested=True)).alias("r")).collect()
+    assert {r.i: r.r and json.loads(r.r) for r in rows} == dict(enumerate(values))
+
+
+def leaves_by_walking(spark, texts):
+    """The distinct leaves when every document is walked."""
+    documents = spark.createDataFrame([("c", t) for t in texts], "column string, text string")
+    return set(J._sources_at(documents.select("column", V.parse_json_lenient("text").alias("_document")), 6).drop("level").collect())
+
+
+def leaves_by_shapes(spark, texts):
+    return set(J._leaves(spark.createDataFrame([(t,) for t in texts], "c string"), ["c"]).drop("level").collect())
+
+
+ODD_DOCUMENTS = [
+    '{"a":"x","b":[1,-2.5e3,true,null,"s"],"c":{}}', '{"a, 5":"b:1,","d\\"=e":1}', '{"url":"urn:x:y","u":{"url":5}}', '"text"', "12", "true", "null", "[]",
+    '{"r":"reference=Patient/12, display=x"}', '{"r":"reference=Patient/13"}', '{"r":"reference=Group/1"}', '{"r":"x reference= Kind / 7 ,y"}', '{"r":"reference=nothing"}',
+    '{"r":"reference=A/1, reference=B/2"}', '{"r":["reference=A/1"]}', '{"extension":[{"url":"a/b:n1","valueX":1},{"url":"q","other":1},{"valueY":1}]}',
+    '{"extension":[{"url":"","valueX":1}]}', '{"extension":[1]}', '{"extension":[{"url":null,"valueX":1},{"url":7,"valueX":{"a":1}}]}', '{"a":01}', '{"a":.5}', '{"a":1x}',
+    '{"a":tru}', '{"a":"\\u00e9","b":"\\q"}', '{"a":"\\u00e9","b":1}', '{"a":"x\ny","b":1}', '{"a":1} junk', '{"a":1', '{"a":"b', "{a=1, b=x}", "{a={b=1}}", '{"a":1, b=2}',
+    '[{"code":{"x":1}, code=5, display=due}]', '"{""a"":""b"",""c"":""""}"', '{"a":""}', '{""a"":""b""}', '"{a=1}"', '{"a":"x=1"', "{a=\u0001}", '{"a":"\u0001"}', '{"a":1,"a":{"b":2}}',
+    '{"k":"v", "n" : 5 , "l" : [ 1 , "x" ] }', '{"reference=A/1":1}', '{"a":1e400}', '{"a":NaN}', '{"a":"reference=A/\\"1"}',
+]
+
+
+@pytest.mark.parametrize("text", ODD_DOCUMENTS)
+def test_a_shape_has_the_leaves_of_its_document(spark, text):
+    assert leaves_by_shapes(spark, [text]) == leaves_by_walking(spark, [text])
+
+
+shaped = st.text('{}[]",:=ab1 \\\u0001\né/', max_size=14) | st.recursive(
+    st.sampled_from(["reference=A/1", "reference=B/2, x", "a, b", 'q"r', "x=y", "", "é"]) | st.integers(-3, 3) | st.booleans() | st.none() | st.floats(allow_nan=False),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["a", "url", "valueX", "extension", "b c", 'q"'], ), inner, max_size=3),
+    max_leaves=8,
+).map(json.dumps)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(shaped, min_size=1, max_size=40))
+def test_shapes_have_the_leaves_of_all_documents(spark, texts):
+    assert leaves_by_shapes(spark, texts) == leaves_by_walking(spark, texts)
+
+
+def test_as_many_shapes_as_rows(spark):
+    texts = [json.dumps({f"k{i}": {"x": i}}) for i in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    assert J.document_shapes(df, ["c"]).count() == 300
+    assert leaves_by_shapes(spark, texts) == leaves_by_walking(spark, texts)
+
+
+def test_documents_of_one_shape_are_walked_once(spark):
+    df = spark.createDataFrame([(json.dumps({"a": f"t{i}", "b": [i, None], "r": f"reference=P/{i}"}),) for i in range(500)], "c string")
+    assert J.document_shapes(df, ["c"]).count() == 1

@@ -312,6 +312,25 @@ ORACLES: dict[str, str] = {
         + (f" WHERE {_HAS_IDENTIFIER}" if column == "identifier" else "")
         for column, path, value in _NESTED_LEAVES
     ),
+    "json_nested_key_value": " UNION ALL ".join(
+        f"SELECT o_orderkey, 'dosage' AS \"column\", '{path}' AS path, {value} AS value FROM orders WHERE o_orderkey % 4 {form}"
+        for form, path, value in [
+            ("= 0", "dosage_text", "'Take ' || o_custkey"),
+            ("= 0", "dosage_unit", "o_orderstatus"),
+            ("= 1", "dosage_text", "'a=b, {c=' || o_custkey || '}'"),
+            ("= 1", "dosage_n", "CAST(o_orderkey AS VARCHAR)"),
+            ("> 1", "dosage_0_text", "'Take ' || o_custkey || ' mg, then rest = more'"),
+            ("> 1", "dosage_0_route_code", "CAST(o_custkey AS VARCHAR)"),
+            ("> 1", "dosage_0_route_display", "'Oral, by \"' || o_orderstatus || '\"'"),
+            ("> 1", "dosage_0_timing_repeat_bounds_start", "strftime(o_orderdate, '%Y-%m-%d')"),
+            ("> 1", "dosage_0_note_0", "o_orderpriority"),
+            ("> 1", "dosage_0_note_1_0", "o_orderstatus"),
+            ("> 1", "dosage_0_note_1_1_deep", "'yes'"),
+            ("> 1", "dosage_0_asNeeded", "'null'"),
+            ("> 1", "dosage_1_text", "''"),
+            ("> 1", "dosage_extension_url_rank", "CAST(o_orderkey AS VARCHAR)"),
+        ]
+    ),
     "json_flatten_map": " UNION ALL ".join(
         f"SELECT event_id, '{column}' AS \"column\", '{path}' AS path, {value} AS value FROM events"
         + (f" WHERE {_HAS_IDENTIFIER}" if column == "identifier" else "")

@@ -226,6 +226,12 @@ def json_flatten_long(spark, sf_dir):
     return J.flatten_long(shapes.nested_json(spark, sf_dir), ["event_id"], ["meta", "identifier"])
 
 
+@query
+def json_nested_key_value(spark, sf_dir):
+    """The leaves of cells whose pairs hold objects and arrays."""
+    return J.flatten_long(shapes.nested_key_values(spark, sf_dir), ["o_orderkey"], ["dosage"], nested=["dosage"])
+
+
 @query
 def json_flatten_map(spark, sf_dir):
     """The entries of the maps, a row each."""

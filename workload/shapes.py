@@ -294,6 +294,22 @@ def nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
+def nested_key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as dosage cells: nested key=value text five levels deep, flat key=value text, and JSON."""
+    nested = (
+        "concat('[{text=Take ', o_custkey, ' mg, then rest = more, route={code=', o_custkey, ', display=Oral, by \"', o_orderstatus, "
+        "'\"}, timing={repeat={bounds={start=', date_format(o_orderdate, 'yyyy-MM-dd'), '}}}, note=[', o_orderpriority, "
+        "', [', o_orderstatus, ', {deep=yes}]], none=[], asNeeded=null}, {text=, extension=[{\"url\":\"urn:x:rank\",\"valueInteger\":', "
+        "o_orderkey, '}]}]')"
+    )
+    flat = "concat('{text=Take ', o_custkey, ', unit=', o_orderstatus, '}')"
+    json = "concat('{\"text\":\"a=b, {c=', o_custkey, '}\",\"n\":', o_orderkey, '}')"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", f"case o_orderkey % 4 when 0 then {flat} when 1 then {json} else {nested} end as dosage"
+    )
+
+
 @stored
 def extension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types and users as an extension array; entries without url or value are to be dropped."""
