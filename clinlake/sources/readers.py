@@ -15,8 +15,11 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_l
     """A folder of delimited files with a header; every column is text.
 
     Large files are split. ``multi_line`` allows line breaks inside quotes, and then a file is read by one
-    task; choose it only for extracts with such breaks.
+    task; choose it only for extracts with such breaks. Without it, a file with a line break inside quotes would give
+    wrong rows, so that a first pass looks for a line with an odd number of quotes and fails where there is one.
     """
+    if not multi_line:
+        _fail_on_open_quotes(spark, path)
     return (
         spark.read.option("header", True)
         .option("sep", delimiter)
@@ -27,6 +30,13 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_l
     )
 
 
+def _fail_on_open_quotes(spark: SparkSession, path: str) -> None:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    found = lines.filter(F.regexp_count("value", F.lit('"')) % 2 != 0).select("_metadata.file_path").head(1)
+    if found:
+        raise ValueError(f"{found[0].file_path} has a line break inside quotes, or an open quote: read it with multi_line=True")
+
+
 def read_delimited_typed(
     spark: SparkSession, path: str, schema: str | None = None, delimiter: str = ",", multi_line: bool = False
 ) -> DataFrame:

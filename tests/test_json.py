@@ -251,7 +251,7 @@ def leaves_by_walking(spark, texts):
 
 
 def leaves_by_shapes(spark, texts):
-    return set(J._leaves(spark.createDataFrame([(t,) for t in texts], "c string"), ["c"]).drop("level").collect())
+    return set(J.leaves_of(spark.createDataFrame([(t,) for t in texts], "c string"), ["c"]).drop("level").collect())
 
 
 ODD_DOCUMENTS = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Mapping
 
 
@@ -41,5 +42,15 @@ def failing_detector(pattern: str) -> Callable[[], Callable[[str], Mapping]]:
     return open_client
 
 
+def identified(factory: Callable[[], Callable[[str], Mapping]]) -> Callable[[], Callable[[str], Mapping]]:
+    """The same detector, with an id of its own in the response to every call."""
+
+    def open_client() -> Callable[[str], Mapping]:
+        detect = factory()
+        return lambda text: {**detect(text), "CallId": uuid.uuid4().hex}
+
+    return open_client
+
+
 NUMBERS = "[0-9]+"
 WORDS_IN_CAPITALS = "[A-Z][A-Z]+"

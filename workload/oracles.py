@@ -452,6 +452,11 @@ ORACLES: dict[str, str] = {
     "append_or_create": """
         SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer
         UNION ALL SELECT c_custkey, NULL, c_mktsegment FROM customer""",
+    "append_rerun": "SELECT o_orderkey, o_custkey, o_totalprice AS total FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    "annotation_reuse": """
+        SELECT doc_id, 'detect_entities_v2' AS api, CAST(len(regexp_extract_all(text, '[0-9]+')) AS INTEGER) AS n_entities,
+               CAST(1 AS BIGINT) AS calls
+        FROM documents WHERE text <> ''""",
     "copy_layer": """
         SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier""",
     "single_csv": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders",

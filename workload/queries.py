@@ -17,16 +17,16 @@ from clinlake.operators import fhir
 from clinlake.operators import json_columns as J
 from clinlake.operators import rows as R
 from clinlake.operators import text_columns as TC
-from clinlake.plans.annotations import annotate_rows, annotation_tables, write_annotation_tables
+from clinlake.plans.annotations import annotate_rows, annotate_texts, annotation_tables, write_annotation_tables
 from clinlake.plans.landing import ingest_all, ingest_resources
 from clinlake.plans.staging import stage_resource, stage_resources
 from clinlake.plans.statements import append_statements
 from clinlake.plans.statements import medication_statements as wide_statements
 from clinlake.session import keep_last_duplicate_key, working_folder
-from clinlake.sources import readers, writers
+from clinlake.sources import batches, readers, writers
 from clinlake.sources.schemas import RESOURCES
 from workload import shapes
-from workload.detectors import NUMBERS, WORDS_IN_CAPITALS, failing_detector, pattern_detector
+from workload.detectors import NUMBERS, WORDS_IN_CAPITALS, failing_detector, identified, pattern_detector
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -386,6 +386,20 @@ def annotation_failures(spark, sf_dir):
     return failed.select("row_number", "doc_id", "api", "api_ord", "error")
 
 
+@query
+def annotation_reuse(spark, sf_dir):
+    """Texts of two runs, the second with the first one's again: entities, and the calls that each text took over both."""
+    documents = shapes.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    database = new_database(spark, "annotated")
+    detectors = {"detect_entities_v2": identified(pattern_detector(NUMBERS))}
+    annotate_texts(documents.filter("lang = 'en'"), "doc_id", "text", detectors, database, "responses", "v1")
+    responses = annotate_texts(documents, "doc_id", "text", detectors, database, "responses", "v1")
+    calls = spark.table(f"{database}.responses").groupBy("digest").agg(F.countDistinct("response_json").alias("calls"))
+    entities = F.size(F.from_json("response_json", "struct<Entities:array<struct<Id:int>>>")["Entities"]).alias("n_entities")
+    texts = documents.select("doc_id", F.sha2("text", 256).alias("digest")).join(calls, "digest")
+    return responses.select("doc_id", "api", entities).join(texts, "doc_id").select("doc_id", "api", "n_entities", "calls")
+
+
 # -- rows ----------------------------------------------------------------------------------------
 
 
@@ -619,6 +633,27 @@ def append_or_create(spark, sf_dir):
     return readers.read_table(spark, database, "t")
 
 
+@query
+def append_rerun(spark, sf_dir):
+    """Batches of two tables: one written twice, one that fails between the tables and is run again, and one that is not."""
+    orders = shapes.table(spark, sf_dir, "orders")
+    database = new_database(spark, "rerun")
+
+    def batch(status: str, failing: bool = False) -> dict[str, DataFrame]:
+        own = orders.filter(F.col("o_orderstatus") == status)
+        total = F.assert_true(F.lit(False)).cast("double") if failing else F.col("o_totalprice")
+        return {"keys": own.select("o_orderkey", "o_custkey"), "totals": own.select("o_orderkey", total.alias("total"))}
+
+    for status, failing in (("F", False), ("F", False), ("O", True), ("O", False), ("P", True)):
+        try:
+            batches.append_batch(batch(status, failing), database, f"status {status}")
+        except Exception:
+            if not failing:
+                raise
+    keys, totals = (batches.read_committed(spark, database, name) for name in ("keys", "totals"))
+    return keys.join(totals, "o_orderkey", "full_outer").select("o_orderkey", "o_custkey", "total")
+
+
 @query
 def copy_layer(spark, sf_dir):
     raw, stage = new_database(spark, "raw"), new_database(spark, "stage")
