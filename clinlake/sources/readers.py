@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from clinlake.sources.schemas import CORRUPT_COLUMN, DOCUMENT_COLUMN
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_line: bool = False) -> DataFrame:
-    """A folder of delimited files with a header; every column is text.
+def read_delimited(spark: SparkSession, path: str | list[str], delimiter: str = "|", multi_line: bool = False) -> DataFrame:
+    """A folder of delimited files, or a list of files, with a header; every column is text.
 
     Large files are split. ``multi_line`` allows line breaks inside quotes, and then a file is read by one
     task; choose it only for extracts with such breaks. Without it, a file with a line break inside quotes would give
@@ -30,7 +30,7 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = "|", multi_l
     )
 
 
-def _fail_on_open_quotes(spark: SparkSession, path: str) -> None:
+def _fail_on_open_quotes(spark: SparkSession, path: str | list[str]) -> None:
     lines = spark.read.option("lineSep", "\n").text(path)
     found = lines.filter(F.regexp_count("value", F.lit('"')) % 2 != 0).select("_metadata.file_path").head(1)
     if found:
@@ -57,7 +57,7 @@ def read_csv_plain(spark: SparkSession, path: str, multi_line: bool = False) ->
     return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str | list[str], schema: str, multi_line: bool = True) -> DataFrame:
     """One JSON document or array of documents per file, or per line without ``multi_line``; also in sub-folders.
 
     Each document is kept whole, as a variant in ``_document``, beside the typed columns of ``schema``, which

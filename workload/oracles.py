@@ -457,6 +457,11 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, 'detect_entities_v2' AS api, CAST(len(regexp_extract_all(text, '[0-9]+')) AS INTEGER) AS n_entities,
                CAST(1 AS BIGINT) AS calls
         FROM documents WHERE text <> ''""",
+    "landing_increment": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_mktsegment, CAST(NULL AS VARCHAR) AS o_orderkey
+        FROM customer
+        UNION ALL SELECT CAST(c_custkey AS VARCHAR), NULL, c_mktsegment, NULL FROM customer
+        UNION ALL SELECT NULL, NULL, NULL, CAST(o_orderkey AS VARCHAR) FROM orders""",
     "copy_layer": """
         SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier""",
     "single_csv": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders",

@@ -18,7 +18,7 @@ from clinlake.operators import json_columns as J
 from clinlake.operators import rows as R
 from clinlake.operators import text_columns as TC
 from clinlake.plans.annotations import annotate_rows, annotate_texts, annotation_tables, write_annotation_tables
-from clinlake.plans.landing import ingest_all, ingest_resources
+from clinlake.plans.landing import DELIMITED_TABLES, ingest_all, ingest_new, ingest_resources
 from clinlake.plans.staging import stage_resource, stage_resources
 from clinlake.plans.statements import append_statements
 from clinlake.plans.statements import medication_statements as wide_statements
@@ -585,6 +585,25 @@ def raw_document_copy(spark, sf_dir):
     ])
 
 
+@query
+def landing_increment(spark, sf_dir):
+    """Files of two tables that come in two waves, each landed once; a run between the waves and one after find nothing new."""
+    base, database = working_folder(spark, "increments"), new_database(spark, "increments")
+    customers, orders = (shapes.table(spark, sf_dir, name) for name in ("customer", "orders"))
+    waves = [
+        {"case_data": customers.select("c_custkey", "c_name"), "patient_match_hub": orders.filter("o_orderstatus = 'F'").select("o_orderkey")},
+        {"case_data": customers.select("c_custkey", "c_mktsegment"), "patient_match_hub": orders.filter("o_orderstatus != 'F'").select("o_orderkey")},
+    ]
+    for number, wave in enumerate(waves):
+        for name, rows in wave.items():
+            writers.write_csv(rows, f"{base}/{name}/wave={number}", DELIMITED_TABLES[name])
+        for _ in range(2):
+            ingest_new(spark, base, database)
+    cases = batches.read_committed(spark, database, "case_data")
+    keys = batches.read_committed(spark, database, "patient_match_hub")
+    return cases.withColumn("o_orderkey", F.lit(None).cast("string")).unionByName(keys, allowMissingColumns=True)
+
+
 @query
 def statement_flow(spark, sf_dir):
     """Statements of two databases made wide and appended; the second batch has a key that the first had not."""
