@@ -2,14 +2,15 @@
 
 A line is compared by the hash of its normal form (lower case, runs of blanks as one space, none at the ends).
 Its document count is the number of different texts of its host that hold it, so that copies of one text count
-once. A line of a host is shared when that count is at least ``MIN_DOCUMENTS`` and above ``MAX_SHARE`` of the
-host's different texts. Shared lines are removed; a document that keeps too little is depleted and rejected.
+once. A line of a host is shared when that count is at least ``MIN_DOCUMENTS``, and above ``MAX_SHARE`` of the
+host's different texts or at least ``MAX_DOCUMENTS``: a share alone would let more documents hold a line the larger the
+host is. Shared lines are removed; a document that keeps too little is depleted and rejected.
 
 The texts of a group of near copies differ, so that their count alone would take every line that the copies were not
-edited in, and deplete them all. ``kept_documents`` therefore counts a line a second time, where the depleted texts
-that have the same smallest shared line (by hash) count once. Edited lines are not shared, so that near copies
-agree in it. A line stays removed when this count is above the limits too, as it is for lines that stand in texts
-of another body. ``judged`` does so on request: the SQL of op7 fixes the count of different texts.
+edited in, and deplete them all. Lines are therefore counted a second time, and texts that the first count would deplete
+and that have the same smallest shared line (by hash) then count once. Edited lines are not shared, so that near copies
+agree in it. A line is removed when it is shared by both counts, as it is when it stands in texts of another body. What
+is lost: where every text that holds a line is depleted by it, as are pages of nothing else, the line may stay.
 
 Defined results: a null text has no words and fails; a null source is a host of its own; repeated rows are
 judged alike and each is returned; a line without words is never removed; columns other than doc_id, text and
@@ -32,7 +33,7 @@ WINDOW_WORDS = 8
 SYMBOLS = "#*$%&|<>"
 
 MIN_DOCUMENTS = 10
-MAX_SHARE = 0.02
+MAX_SHARE, MAX_DOCUMENTS = 0.02, 100
 #: A document is depleted when less than this share of its words is left.
 MIN_LEFT_SHARE = 0.3
 
@@ -118,23 +119,32 @@ def _lines(docs: DataFrame) -> DataFrame:
         "_content",
         "_text_words",
         "line_no",
-        F.xxhash64("_text").alias("_line"),
+        line_hash(F.col("_text")).alias("_line"),
         F.size(F.split("_text", " ")).alias("_words"),
     )
 
 
+def line_hash(text: Column) -> Column:
+    """The first 60 bits of the MD5 digest, as long."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def _shared(n: str) -> Column:
+    return F.expr(f"{n} >= {MIN_DOCUMENTS} and ({n} > {MAX_SHARE}D * _n or {n} >= {MAX_DOCUMENTS})")
+
+
 def shared_lines(docs: DataFrame) -> DataFrame:
-    """_host, _line (hash) and n_documents of the lines above the limits."""
-    return _above_limits(docs).select("_host", "_line", "n_documents")
+    """_host, _line (hash) and n_documents of the lines above the limits by the first count."""
+    return _above_limits(docs, _lines(docs)).select("_host", "_line", "n_documents")
 
 
-def _above_limits(docs: DataFrame) -> DataFrame:
+def _above_limits(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``shared_lines`` with _n, the number of different texts of the host."""
-    by_line = _lines(docs).groupBy("_host", "_line").agg(F.count_distinct("_content").alias("n_documents"))
+    by_line = lines.groupBy("_host", "_line").agg(F.count_distinct("_content").alias("n_documents"))
     hosts = docs.select(F.coalesce(F.col("source"), F.lit("")).alias("_host"), F.xxhash64("text").alias("_content"))
     sizes = hosts.groupBy("_host").agg(F.count_distinct("_content").alias("_n"))
     often = by_line.filter(F.col("n_documents") >= MIN_DOCUMENTS)
-    return often.join(sizes, "_host").filter(F.col("n_documents") > MAX_SHARE * F.col("_n")).select("_host", "_line", "n_documents", "_n")
+    return often.join(sizes, "_host").filter(_shared("n_documents")).select("_host", "_line", "n_documents", "_n")
 
 
 def _once_a_body(found: DataFrame) -> DataFrame:
@@ -151,22 +161,24 @@ def _once_a_body(found: DataFrame) -> DataFrame:
     lines = F.explode(F.array_distinct(F.transform("_shared", lambda x: x["_line"])))
     counted = texts.select("_host", "_n", body.alias("_body"), lines.alias("_line")).groupBy("_host", "_line")
     bodies = counted.agg(F.count_distinct("_body").alias("_bodies"), F.first("_n").alias("_n"))
-    return bodies.filter((F.col("_bodies") >= MIN_DOCUMENTS) & (F.col("_bodies") > MAX_SHARE * F.col("_n"))).select("_host", "_line")
+    return bodies.filter(_shared("_bodies")).select("_host", "_line")
+
 
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """Per row with shared lines: doc_id, _key, _removed (array of struct line_no, words).
 
-def removed_lines(docs: DataFrame, once_a_body: bool = False) -> DataFrame:
-    """Per row with shared lines: doc_id, _key, _removed (array of struct line_no, words)."""
-    found = _lines(docs).join(_above_limits(docs), ["_host", "_line"])
-    if once_a_body:
-        found = stored(found, "shared-lines")
-        found = found.join(_once_a_body(found), ["_host", "_line"], "left_semi")
+    Texts are cut and hashed once; the lines are stored, and read for the counts and for what is removed.
+    """
+    lines = stored(_lines(docs), "lines")
+    found = stored(lines.join(_above_limits(docs, lines), ["_host", "_line"]), "shared-lines")
+    kept = found.join(_once_a_body(found), ["_host", "_line"], "left_semi")
     # A set, for repeated rows have one key.
-    return found.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("line_no", F.col("_words").alias("words"))).alias("_removed"))
+    return kept.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("line_no", F.col("_words").alias("words"))).alias("_removed"))
 
 
-def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",), once_a_body: bool = False) -> DataFrame:
+def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``measures`` with _removed (line numbers), words_left and kept."""
-    m, r = measures(docs, carried).alias("m"), removed_lines(docs, once_a_body).alias("r")
+    m, r = measures(docs, carried).alias("m"), removed_lines(docs).alias("r")
     joined = m.join(r, F.expr("m._key = r._key and m._doc.doc_id <=> r.doc_id"), "left")
     gone = F.coalesce(F.aggregate("_removed", F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.lit(0).cast("long"))
     left = joined.select("m.*", F.transform("_removed", lambda x: x["line_no"]).alias("_removed"), (F.col("n_words") - gone).alias("words_left"))
@@ -177,7 +189,7 @@ def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",), once_a_body: b
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with; shared lines are gone from text, and n_chars follows."""
     lines = F.filter(F.split(F.col("_doc.text"), "\n"), lambda line, i: ~F.array_contains(F.col("_removed"), i))
-    passed = judged(docs, docs.columns, once_a_body=True).filter("kept").withColumn(
+    passed = judged(docs, docs.columns).filter("kept").withColumn(
         "_text", F.when(F.col("_removed").isNull(), F.col("_doc.text")).otherwise(F.array_join(lines, "\n"))
     )
     changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}

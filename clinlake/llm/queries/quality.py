@@ -35,14 +35,25 @@ WITH docs AS (
   SELECT doc_id, sum(least(8, coalesce(nxt - pos, 8)))::BIGINT AS n_repeat_words
   FROM (SELECT doc_id, pos, lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM twice) GROUP BY doc_id
 ), lines AS (
-  SELECT doc_id, source, content, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS line
-  FROM (SELECT doc_id, source, content, unnest(string_split(lower(text), chr(10))) AS line FROM docs)
+  SELECT doc_id, source, content, n_words, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+  FROM (SELECT doc_id, source, content, len(words) AS n_words, unnest(string_split(lower(text), chr(10))) AS line FROM docs)
+), hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT AS hash, len(string_split(line, ' ')) AS line_words FROM lines WHERE line <> ''
+), hosts AS (
+  SELECT source, count(DISTINCT content) AS hosted FROM docs GROUP BY source
 ), often AS (
-  SELECT source, line FROM (SELECT source, line, count(DISTINCT content) AS n FROM lines WHERE line <> '' GROUP BY source, line)
-  JOIN (SELECT source, count(DISTINCT content) AS hosted FROM docs GROUP BY source) USING (source)
-  WHERE n >= 10 AND n > 0.02 * hosted
+  SELECT source, line, hosted FROM (SELECT source, line, count(DISTINCT content) AS n FROM hashed GROUP BY source, line) JOIN hosts USING (source)
+  WHERE n >= 10 AND (n > 0.02 * hosted OR n >= 100)
+), found AS (
+  SELECT * FROM hashed JOIN often USING (source, line)
+), bodies AS (
+  SELECT doc_id, CASE WHEN any_value(n_words) - sum(line_words) < 0.3 * any_value(n_words) THEN 'hash ' || min(hash) ELSE 'text ' || any_value(content) END AS body
+  FROM found GROUP BY doc_id
+), removed AS (
+  SELECT source, line FROM (SELECT source, line, hosted, count(DISTINCT body) AS n FROM found JOIN bodies USING (doc_id) GROUP BY source, line, hosted)
+  WHERE n >= 10 AND (n > 0.02 * hosted OR n >= 100)
 ), gone AS (
-  SELECT doc_id, sum(len(string_split(line, ' ')))::BIGINT AS words_gone FROM lines JOIN often USING (source, line) GROUP BY doc_id
+  SELECT doc_id, sum(line_words)::BIGINT AS words_gone FROM found JOIN removed USING (source, line) GROUP BY doc_id
 ), measured AS (
   SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,

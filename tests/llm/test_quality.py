@@ -84,6 +84,15 @@ def test_near_copies_keep_their_lines(spark):
     rows = [(k, "\n".join(copy), "h") for k, copy in enumerate(copies)]
     rows += [(100 + k, body(100 + k) + ("\n" + notice if k < 60 else ""), "h") for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    assert not [r for r in quality.judged(docs).filter("kept").collect() if r["_doc"].doc_id < 100]
+    assert {r["_doc"].doc_id for r in quality.judged(docs).filter("kept").collect()} == {k for k, _, _ in rows}
     kept = {r.doc_id: r.text for r in quality.kept_documents(docs).collect()}
     assert kept == {k: text.removesuffix("\n" + notice) for k, text, _ in rows}
+
+
+def test_the_limit_does_not_grow_with_the_host(spark):
+    """120 of 9,000 texts share a line: below two per cent, but above the absolute limit; 60 share another one."""
+    rows = [(k, " ".join(f"w{k}x{m}" for m in range(24)) + ("\nshared by many" if k < 120 else "\nshared by fewer" if k < 180 else ""), "big") for k in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert [r.n_documents for r in quality.shared_lines(docs).collect()] == [120]
+    kept = {r.doc_id: r.text for r in quality.kept_documents(docs).collect()}
+    assert not any("many" in t for t in kept.values()) and sum("fewer" in t for t in kept.values()) == 60
