@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from clinlake.session import stored
 
@@ -70,22 +71,27 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding of the rows that take part."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter(
+    given = vectors.schema["embedding"].dataType.elementType
+    # Floats stay floats, as they are half as large; anything else is compared as doubles.
+    kind = "array<float>" if isinstance(given, FloatType) else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter(
         F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     )
     lengths = rows.groupBy(F.size("embedding").alias("_n")).count().orderBy(F.desc("count"), F.desc("_n")).limit(1).collect()
     return rows.filter(F.size("embedding") == (lengths[0]["_n"] if lengths else 0))
 
 
-def _same() -> tuple[Column, Column]:
+def _same(rows: DataFrame) -> tuple[Column, Column]:
     # Adding zero makes one zero of both.
-    positive = F.transform("embedding", lambda x: x + F.lit(0).cast("float"))
+    zero = F.lit(0).cast(rows.schema["embedding"].dataType.elementType)
+    positive = F.transform("embedding", lambda x: x + zero)
     return F.xxhash64(positive).alias("_hash"), positive.alias("embedding")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id and score (Euclidean distance) of the k nearest found of each row that is_query names."""
-    rows = usable(vectors).select("vec_id", *_same()).distinct()
+    rows = usable(vectors)
+    rows = rows.select("vec_id", *_same(rows)).distinct()
     by_vector = Window.partitionBy("_hash", "embedding").orderBy("vec_id")
     first_ids = rows.withColumn("_n", F.row_number().over(by_vector)).filter(F.col("_n") <= k + 1)
     distinct = stored(
@@ -195,7 +201,8 @@ def _keyed(points: DataFrame) -> DataFrame:
                     columns = [pa.array(np.full(len(own), curve, dtype=np.int32)), pa.array(hilbert_keys(own, BITS)), part["_key"], part["embedding"]]
                     yield pa.RecordBatch.from_arrays(columns, ["_curve", "_place", "_key", "embedding"])
 
-    return points.select("_key", "embedding").mapInArrow(place, "_curve int, _place long, _key long, embedding array<float>")
+    kind = points.schema["embedding"].dataType.simpleString()
+    return points.select("_key", "embedding").mapInArrow(place, f"_curve int, _place long, _key long, embedding {kind}")
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:

@@ -65,3 +65,15 @@ def test_few_and_no_rows(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in rows] == [(0, 1, 1)]
     assert curves.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
     assert curves.nearest(frame, F.col("vec_id") == 9).count() == 0
+
+
+def test_doubles_stay_doubles(spark):
+    floats = curves.usable(spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>"))
+    assert floats.select(*curves._same(floats)).schema["embedding"].dataType.simpleString() == "array<float>"
+    rng = np.random.default_rng(2)
+    rows = [(i, [*map(float, v)]) for i, v in enumerate(rng.normal(size=(40, 3)))] + [(100, [-0.0, 1.0, 0.1]), (101, [0.0, 1.0, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in curves.nearest(frame, F.col("vec_id") % 100 == 0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.score, r.vec_id))
+    assert {q: [(pytest.approx(s, rel=1e-14), i) for _, s, i in sorted(v)] for q, v in found.items()} == brute_force(rows, [0, 100])
