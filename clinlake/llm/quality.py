@@ -176,9 +176,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return kept.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("line_no", F.col("_words").alias("words"))).alias("_removed"))
 
 
-def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``measures`` with _removed (line numbers), words_left and kept."""
-    m, r = measures(docs, carried).alias("m"), removed_lines(docs).alias("r")
+def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",), removed: DataFrame | None = None) -> DataFrame:
+    """``measures`` with _removed (line numbers), words_left and kept; ``removed`` is ``removed_lines`` of the same rows."""
+    m, r = measures(docs, carried).alias("m"), (removed_lines(docs) if removed is None else removed).alias("r")
     joined = m.join(r, F.expr("m._key = r._key and m._doc.doc_id <=> r.doc_id"), "left")
     gone = F.coalesce(F.aggregate("_removed", F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.lit(0).cast("long"))
     left = joined.select("m.*", F.transform("_removed", lambda x: x["line_no"]).alias("_removed"), (F.col("n_words") - gone).alias("words_left"))
@@ -189,7 +189,8 @@ def judged(docs: DataFrame, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with; shared lines are gone from text, and n_chars follows."""
     lines = F.filter(F.split(F.col("_doc.text"), "\n"), lambda line, i: ~F.array_contains(F.col("_removed"), i))
-    passed = judged(docs, docs.columns).filter("kept").withColumn(
+    # What is removed grows with the documents, so it is not broadcast at any size.
+    passed = judged(docs, docs.columns, removed_lines(docs).hint("merge")).filter("kept").withColumn(
         "_text", F.when(F.col("_removed").isNull(), F.col("_doc.text")).otherwise(F.array_join(lines, "\n"))
     )
     changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
