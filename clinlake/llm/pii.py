@@ -18,7 +18,9 @@ from __future__ import annotations
 import pickle
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -48,7 +50,7 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 #: The part of a span of the model that is added: what its kind is at the least, however it is written.
 _ADDED = {
     "email": re.compile(
-        r"[A-Za-z0-9._%+-]{1,64}(?:@| ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]{1,63}(?:(?:\.| ?[(\[]dot[)\]] ?| dot )[A-Za-z0-9-]{1,63})+"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@| ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]++(?:(?:\.| ?[(\[]dot[)\]] ?| dot )[A-Za-z0-9-]++)+"
     ),
     "ip": re.compile(r"[0-9]{1,3}(?: ?[\[(]?\.[\])]? ?[0-9]{1,3}){3}"),
     "card": re.compile(r"[0-9](?:[ .-]?[0-9]){12,18}"),
@@ -244,27 +246,54 @@ def spans(texts: Sequence[str], model: Tagger) -> list[list[tuple[str, int, int,
     found = []
     for text, tags in zip(texts, tagged(texts, model), strict=True):
         base = base_spans(text)
-        own = [(s, k, e, True) for s, k, e in base]
+        own, cover = [(s, k, e, True) for s, k, e in base], _cover(base)
         if tags is not None:
             edges = np.flatnonzero(np.diff(tags, prepend=0, append=0))
             for start, end in zip(edges, edges[1:], strict=False):
-                if tags[start] and (added := _added(text, int(start), int(end), int(tags[start]) - 1, base)):
-                    own.append((*added, False))
+                if tags[start]:
+                    own += [(*added, False) for added in _added(text, int(start), int(end), int(tags[start]) - 1, cover)]
         found.append([(KINDS[k], s, e, b) for s, k, e, b in sorted(own)])
     return found
 
 
-def _added(text: str, start: int, end: int, kind: int, base: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
-    match = _ADDED[KINDS[kind]].search(text, start, end)
-    if match is None:
-        return None
-    start, end = match.span()
-    numbers = re.findall(r"[0-9]+", match[0])
+#: Starts of the base spans in order, and how far the spans up to each of them reach.
+Cover = tuple[list[int], list[int]]
+
+
+def _cover(base: list[tuple[int, int, int]]) -> Cover:
+    ordered = sorted(base)
+    return [s for s, _, _ in ordered], list(accumulate((e for _, _, e in ordered), max))
+
+
+def _added(text: str, start: int, end: int, kind: int, cover: Cover) -> Iterator[tuple[int, int, int]]:
+    """All items of a kind in a run of its tag, one behind the other; after a match that fails, from its next character on."""
+    rule, at = _ADDED[KINDS[kind]], start
+    while match := rule.search(text, at, end):
+        first, last = match.span()
+        # The longest card may hold the beginning of the next one, which the run does not tell apart.
+        ends = [last, *_group_ends(text, first, last)] if KINDS[kind] == "card" else [last]
+        last = next((e for e in ends if _holds(text, first, e, kind, cover)), None)
+        if last is None:
+            at = first + 1
+        else:
+            yield first, kind, last
+            at = last
+
+
+def _group_ends(text: str, first: int, last: int) -> list[int]:
+    """Where a shorter card may end in a match, the last place first: at the end of a group of digits, with 13 digits or more."""
+    groups = [m.end() + first for m in re.finditer(r"[0-9]+", text[first:last])]
+    return [e for e in reversed(groups[:-1]) if sum(c.isdigit() for c in text[first:e]) >= 13]
+
+
+def _holds(text: str, start: int, end: int, kind: int, cover: Cover) -> bool:
+    numbers = re.findall(r"[0-9]+", text[start:end])
     if kind == 1 and max(map(int, numbers)) > 255 or kind == 2 and not luhn("".join(numbers)):
-        return None
+        return False
     if (start and text[start].isalnum() and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
-        return None  # a part of a longer word or number
-    return None if any(s < end and start < e for s, _, e in base) else (start, kind, end)
+        return False  # a part of a longer word or number
+    before = bisect_left(cover[0], end)
+    return not before or cover[1][before - 1] <= start
 
 
 def found_spans(text: Column, model: Tagger) -> Column:

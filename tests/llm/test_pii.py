@@ -130,3 +130,24 @@ def test_edge_cases(spark, model):
     rows = frame.select("doc_id", pii.found_spans(frame["text"], model).alias("s")).collect()
     assert sorted((r.doc_id, len(r.s)) for r in rows) == [(1, 0), (2, 0), (2, 0), (3, 1)]
     assert frame.limit(0).select(pii.found_spans(frame["text"], model)).count() == 0
+
+
+def test_all_items_of_a_run():
+    def added(text, kind):
+        return [text[s:e] for s, _, e in pii._added(text, 0, len(text), pii.KINDS.index(kind), pii._cover([]))]
+
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "3782.822463.10005"]
+    assert added(" ".join(cards[:2]), "card") == cards[:2]
+    assert added(", ".join(cards), "card") == cards
+    assert added("999.1.1.1 10 . 0 . 0 . 1", "ip") == ["10 . 0 . 0 . 1"]
+    assert added("a at b.example, c (at) d dot org", "email") == ["a at b.example", "c (at) d dot org"]
+    long = "x" * 300 + " at " + "y" * 200 + " dot org"
+    assert added(long, "email") == [long]
+
+
+def test_added_spans_keep_clear_of_base_spans():
+    text = "10 . 0 . 0 . 1 and 10 . 0 . 0 . 2"
+    for base in ([(0, 1, 14)], [(3, 0, 4), (0, 2, 2)], [(13, 1, 16)]):
+        assert [text[s:e] for s, _, e in pii._added(text, 0, len(text), 1, pii._cover(base))] == ["10 . 0 . 0 . 2"]
+    many = "1.2.3.4 " * 50_000
+    assert not list(pii._added(many, 0, len(many), 1, pii._cover(pii.base_spans(many))))
