@@ -8,53 +8,52 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinlake.sources.delimited import broken_records, has_quotes
 from clinlake.sources.schemas import CORRUPT_COLUMN, DOCUMENT_COLUMN
 
 
+_QUOTES = {"quote": '"', "escape": '"'}
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], delimiter: str = "|", multi_line: bool = False) -> DataFrame:
     """A folder of delimited files, or a list of files, with a header; every column is text.
 
-    Large files are split. ``multi_line`` allows line breaks inside quotes, and then a file is read by one
-    task; choose it only for extracts with such breaks. Without it, a file with a line break inside quotes would give
-    wrong rows, so that a first pass looks for a line with an odd number of quotes and fails where there is one.
+    Large files are split, also those with line breaks inside quotes: a first pass over files with quotes finds such
+    breaks, and only where there are any the records are put together from lines (see ``broken_records``). A quote that is
+    never closed is an error. With ``multi_line`` Spark reads each file by one task instead, which a ``delimiter`` of
+    several characters needs.
     """
-    if not multi_line:
-        _fail_on_open_quotes(spark, path)
-    return (
-        spark.read.option("header", True)
-        .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-
-
-def _fail_on_open_quotes(spark: SparkSession, path: str | list[str]) -> None:
-    lines = spark.read.option("lineSep", "\n").text(path)
-    found = lines.filter(F.regexp_count("value", F.lit('"')) % 2 != 0).select("_metadata.file_path").head(1)
-    if found:
-        raise ValueError(f"{found[0].file_path} has a line break inside quotes, or an open quote: read it with multi_line=True")
+    return _delimited(spark, path, delimiter, multi_line)
 
 
 def read_delimited_typed(
-    spark: SparkSession, path: str, schema: str | None = None, delimiter: str = ",", multi_line: bool = False
+    spark: SparkSession, path: str | list[str], schema: str | None = None, delimiter: str = ",", multi_line: bool = False
 ) -> DataFrame:
-    """Delimited files with types: a declared schema, or inferred ones at the cost of a second read."""
-    reader = (
-        spark.read.option("header", True)
-        .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    """``read_delimited`` with types: a declared schema, or inferred ones at the cost of a further read.
+
+    Types are inferred by one task a file where a field holds a line break.
+    """
+    return _delimited(spark, path, delimiter, multi_line, schema, typed=True)
 
 
-def read_csv_plain(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_plain(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Comma-separated files with a header and doubled quotes; every column is text."""
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+    return _delimited(spark, path, ",", multi_line)
+
+
+def _delimited(
+    spark: SparkSession, path: str | list[str], delimiter: str, multi_line: bool, schema: str | None = None, typed: bool = False
+) -> DataFrame:
+    options = _QUOTES | {"sep": delimiter}
+    reader = spark.read.options(**options, header=True, inferSchema=typed and not schema)
+    if schema:
+        reader = reader.schema(schema)
+    records = None if multi_line or not has_quotes(spark, path) else broken_records(spark, path, delimiter)
+    if records is None:
+        return reader.option("multiLine", multi_line).csv(path)
+    fields = reader.option("multiLine", True).csv(path).schema
+    each = F.from_csv("record", fields.toDDL(), options | {"multiLine": "true"})
+    return records.select(each.alias("_fields")).select("_fields.*")
 
 
 def read_json_documents(spark: SparkSession, path: str | list[str], schema: str, multi_line: bool = True) -> DataFrame:

@@ -59,15 +59,6 @@ def test_a_refused_append_changes_nothing(spark, database):
     assert spark.table(f"{database}.t").columns == ["a"] and rows(spark, database) == [(1,)]
 
 
-def test_a_line_break_in_quotes_is_not_read_by_lines(spark, tmp_path):
-    (tmp_path / "t.csv").write_text('x|y\n1|"a\nb"\n2|c\n')
-    with pytest.raises(ValueError, match="multi_line"):
-        readers.read_delimited(spark, str(tmp_path))
-    assert [tuple(r) for r in readers.read_delimited(spark, str(tmp_path), multi_line=True).collect()] == [("1", "a\nb"), ("2", "c")]
-    (tmp_path / "t.csv").write_text('x|y\n1|"a ""b"""\n')
-    assert [tuple(r) for r in readers.read_delimited(spark, str(tmp_path)).collect()] == [("1", 'a "b"')]
-
-
 def committed(spark, database, name):
     return sorted(tuple(r) for r in batches.read_committed(spark, database, name).collect())
 

@@ -464,7 +464,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip_pipe(spark, sf_dir):
     path = working_folder(spark, "pipe")
     writers.write_csv(_documents(spark, sf_dir), path, "|")
-    return readers.read_delimited(spark, path, multi_line=True).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return readers.read_delimited(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @query
@@ -475,7 +475,7 @@ def csv_roundtrip_comma(spark, sf_dir):
     writers.write_csv(_documents(spark, sf_dir), f"{base}/documents_match", ",")
     database = new_database(spark, "raw")
     tables = {"documents": "|", "documents_match": ",", "absent": "|"}
-    ingest_all(spark, base, database, tables, multi_line=tables)
+    ingest_all(spark, base, database, tables)
     both = readers.read_table(spark, database, "documents").withColumn("source_table", F.lit("pipe")).unionByName(
         readers.read_table(spark, database, "documents_match").withColumn("source_table", F.lit("comma"))
     )
@@ -486,7 +486,7 @@ def csv_roundtrip_comma(spark, sf_dir):
 def csv_roundtrip_escaped(spark, sf_dir):
     path = working_folder(spark, "escaped")
     writers.write_csv(_documents(spark, sf_dir), path)
-    return readers.read_delimited_typed(spark, path, "doc_id bigint, text string, lang string", multi_line=True)
+    return readers.read_delimited_typed(spark, path, "doc_id bigint, text string, lang string")
 
 
 @query
