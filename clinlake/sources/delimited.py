@@ -117,10 +117,10 @@ def _summaries(delimiter: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[
 def _blocks(lines: DataFrame, delimiter: str) -> DataFrame:
     """The states of every block, stored.
 
-    path, start, bit, bit_after, broken, heads (does the file's first record begin here) and returns (do the file's lines
+    path, start, bit, bit_after, broken, heads (does the file's first record begin here), ends (is it the last) and returns (do the file's lines
     end with a carriage return; its first line tells, as for Spark's own reader).
     """
-    each = stored(lines.select("value", *_BLOCK).mapInArrow(_summaries(delimiter), _SUMMARY), "csv-blocks")
+    each = lines.select("value", *_BLOCK).mapInArrow(_summaries(delimiter), _SUMMARY)
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     here = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
     turned = each.withColumn("turns", F.sum(F.when(F.expr("from_closed > from_open"), 1).otherwise(0)).over(here))
@@ -129,8 +129,9 @@ def _blocks(lines: DataFrame, delimiter: str) -> DataFrame:
     bit = F.expr("coalesce(last.from_closed, 0) ^ ((coalesce(past, 0) - coalesce(last.turns, 0)) & 1)")
     first = F.min(F.when(F.col("content"), F.col("start"))).over(Window.partitionBy("path"))
     returns = F.first("returns").over(here).alias("returns")
+    ends = F.lead("start").over(Window.partitionBy("path").orderBy("start")).isNull().alias("ends")
     found = known.withColumn("first", first).withColumn("bit", bit).withColumn("bit_after", F.expr("if(bit = 0, from_closed, from_open)"))
-    return stored(found.select(*_BLOCK, "bit", "bit_after", "broken", F.expr("start <=> first").alias("heads"), returns), "csv-states")
+    return stored(found.select(*_BLOCK, "bit", "bit_after", "broken", F.expr("start <=> first").alias("heads"), ends, returns), "csv-states")
 
 
 def _records(delimiter: str, crossing: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -203,9 +204,9 @@ def has_quotes(spark: SparkSession, path: str | list[str]) -> bool:
     return bool(_lines(spark, path).select("value").filter(F.col("value").contains('"')).head(1))
 
 
-def _placed(lines: DataFrame, blocks: DataFrame, how: str, broadcast_blocks: int) -> DataFrame:
+def _placed(lines: DataFrame, blocks: DataFrame, how: str, broadcast: bool) -> DataFrame:
     """Lines with the columns of their block, the lines of a block together and in order."""
-    if blocks.count() <= broadcast_blocks:
+    if broadcast:
         return lines.join(F.broadcast(blocks), _BLOCK, how)
     numbered = lines.withColumn("line", F.monotonically_increasing_id())
     return numbered.join(blocks, _BLOCK, how).sortWithinPartitions(*_BLOCK, "line")
@@ -224,19 +225,24 @@ def broken_records(
     _patterns(delimiter)
     lines = _lines(spark, path)
     blocks = _blocks(lines, delimiter)
-    last = blocks.groupBy("path").agg(F.max(F.struct("start", "bit_after")).alias("at"))
-    unclosed = last.filter("at.bit_after = 1").select("path").head(1)
-    if unclosed:
-        raise ValueError(f"{unclosed[0].path} ends inside quotes: a quote of it is never closed")
-    if not blocks.filter("broken or bit = 1").head(1):
+    state = blocks.agg(
+        F.count(F.lit(1)).alias("blocks"),
+        F.bool_or(F.expr("broken or bit = 1")).alias("broken"),
+        F.bool_or(F.expr("bit = 1 or bit_after = 1")).alias("across"),
+        F.min(F.expr("if(ends and bit_after = 1, path, null)")).alias("unclosed"),
+    ).first()
+    if state.unclosed:
+        raise ValueError(f"{state.unclosed} ends inside quotes: a quote of it is never closed")
+    if not state.broken:
         return None
+    broadcast = state.blocks <= broadcast_blocks
     known = F.coalesce("bit", F.raise_error(F.lit("a file changed while it was read")).cast("long"))
     line = F.when(F.col("returns"), F.regexp_replace("value", r"\r\z", "")).otherwise(F.col("value")).alias("value")
-    placed = _placed(lines, blocks, "left", broadcast_blocks).select(line, *_BLOCK, known.alias("bit"), "heads")
+    placed = _placed(lines, blocks, "left", broadcast).select(line, *_BLOCK, known.alias("bit"), "heads")
     found = placed.mapInArrow(_records(delimiter, crossing=False), _PIECE).filter("not first").select("record")
-    across = blocks.filter("bit = 1 or bit_after = 1")
-    if across.head(1):
-        some = _placed(lines, across, "inner", broadcast_blocks).select(line, *_BLOCK, "bit", "heads")
+    if state.across:
+        across = blocks.filter("bit = 1 or bit_after = 1")
+        some = _placed(lines, across, "inner", broadcast).select(line, *_BLOCK, "bit", "heads")
         pieces = some.mapInArrow(_records(delimiter, crossing=True), _PIECE)
         in_file = Window.partitionBy("path").orderBy("start", "side")
         numbered = pieces.withColumn("number", F.count_if(F.col("side") == 2).over(in_file))
