@@ -53,7 +53,8 @@ def _delimited(
         return reader.option("multiLine", multi_line).csv(path)
     fields = reader.option("multiLine", True).csv(path).schema
     each = F.from_csv("record", fields.toDDL(), options | {"multiLine": "true"})
-    return records.select(each.alias("_fields")).select("_fields.*")
+    # Fields taken from the struct in a projection would each parse the record again.
+    return records.select(F.inline(F.array(each)))
 
 
 def read_json_documents(spark: SparkSession, path: str | list[str], schema: str, multi_line: bool = True) -> DataFrame:
