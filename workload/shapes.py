@@ -17,6 +17,9 @@ from clinlake.session import working_folder
 
 _stored: dict[tuple[str, str, str], str] = {}
 
+# Bytes of a table's files that one task reshapes.
+PART_BYTES = 2 << 20
+
 
 def stored(shape: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(shape)
@@ -24,8 +27,7 @@ def stored(shape: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
         key = (spark.sparkContext.applicationId, sf_dir, shape.__name__)
         if key not in _stored:
             path = working_folder(spark, shape.__name__)
-            # The tables come as one small file each; what is stored is spread over the cores, whatever its size.
-            shape(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+            shape(spark, sf_dir).write.option("compression", "zstd").parquet(path)
             _stored[key] = path
         return spark.read.parquet(_stored[key])
 
@@ -36,6 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table in parts of equal size, as many as it needs.
+
+    Tables come as files of any number and size. Their own rows are spread, which are narrow: what a shape makes of them is
+    many times wider, and is written where it is made.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return table(spark, sf_dir, name).repartition(max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES)))
+
+
 def _extensions(key: str, standard: str) -> str:
     def one(url: str, integer: str = "null", string: str = "null", boolean: str = "null") -> str:
         return (
@@ -78,7 +91,7 @@ def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'text', concat('ingredient ', o_custkey, '-', j), "
         f"'coding', case when j < 3 then array({_coding('j')}, {_coding('(j + 1)')}) end) end)"
     )
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(spark, sf_dir, "orders").selectExpr(
         "concat('med-', o_orderkey) as id",
         "named_struct('text', o_orderpriority, 'coding', case when o_orderkey % 4 > 0 then "
         f"transform(slice(array(1, 2, 3), 1, int(o_orderkey % 4)), i -> {_coding('i')}) end) as code",
@@ -88,7 +101,7 @@ def medication(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def condition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(spark, sf_dir, "orders").selectExpr(
         "concat('cond-', o_orderkey) as id",
         "named_struct('text', o_orderpriority, 'coding', array(named_struct('code', o_orderstatus))) as code",
         "named_struct('text', o_orderstatus) as clinicalStatus",
@@ -99,7 +112,7 @@ def condition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def observation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         "concat('obs-', event_id) as id",
         "array(named_struct('text', event_type), named_struct('text', 'laboratory')) as category",
         "named_struct('text', concat('test ', event_type)) as code",
@@ -118,7 +131,7 @@ def observation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(spark, sf_dir, "lineitem").selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id",
         "named_struct('text', concat('procedure ', l_partkey)) as code",
         "named_struct('reference', concat('Encounter/', l_orderkey)) as encounter",
@@ -132,7 +145,7 @@ def procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(
+    return spread(spark, sf_dir, "customer").selectExpr(
         "concat('pat-', c_custkey) as id",
         "case when c_mktsegment = 'BUILDING' then null when c_custkey % 2 = 0 then 'female' else 'male' end as gender",
     )
@@ -145,7 +158,7 @@ def practitioner(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'district', 'd{n}', 'line', array(s_name, 'floor {n}'), 'postalCode', cast(s_suppkey as string), "
         "'state', 's{n}', 'use', 'work')"
     )
-    return table(spark, sf_dir, "supplier").selectExpr(
+    return spread(spark, sf_dir, "supplier").selectExpr(
         "concat('prac-', s_suppkey) as id",
         f"array({address.format(n=1)}, {address.format(n=2)}) as address",
         "array(named_struct('family', s_name, 'suffix', array('MD', 'PhD'), 'use', 'official')) as name",
@@ -155,7 +168,7 @@ def practitioner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").selectExpr(
+    return spread(spark, sf_dir, "conversations").selectExpr(
         "concat('enc-', conv_id, '-', turn) as id",
         "named_struct('display', role) as class",
         "array(named_struct('condition', named_struct('reference', concat('Condition/', conv_id)))) as diagnosis",
@@ -177,7 +190,7 @@ def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @stored
 def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times in five forms, one of which is no timestamp."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         "event_id",
         "case event_id % 5 "
         "when 0 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS'-03:00'\") "
@@ -192,7 +205,7 @@ def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         "event_id",
         "case event_id % 5 when 0 then concat('Patient/', user_id) "
         "when 1 then concat('reference=Medication/', event_id, '/x, display=', event_type) "
@@ -211,7 +224,7 @@ def concept_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def ext(name: str, field: str, value: str) -> str:
         return f"""'{{"url":"urn:omop:normalizedConcept:{name}","{field}":', {value}, '}},'"""
 
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "concat('[{coding=[{extension=[', "
         + ext("id", "valueInteger", "l_partkey") + ", "
@@ -247,7 +260,7 @@ def dosage_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('{text=null, patientInstruction=null, _patientInstruction=q, route={code=null, display=null}, "
         "doseQuantity={unit=null}, value=', l_linenumber, ', unit=drop}')"
     )
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         f"case l_partkey % 3 when 0 then {pairs} when 1 then {json} else {nulls} end as dosage",
     )
@@ -255,7 +268,7 @@ def dosage_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").selectExpr(
+    return spread(spark, sf_dir, "pages").selectExpr(
         "page_id", "concat('{status=generated, ', replace(html, '<div', 'div=<div'), '}') as text"
     )
 
@@ -264,7 +277,7 @@ def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lenient_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON, quote-wrapped JSON, key=value text, JSON with junk behind it, and broken text."""
     document = "to_json(named_struct('id', event_id, 'kind', event_type, 'user', user_id))"
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         "event_id",
         f"case event_id % 5 when 0 then {document} "
         f"when 1 then concat('\"', replace({document}, '\"', '\"\"'), '\"') "
@@ -277,7 +290,7 @@ def lenient_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @stored
 def nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as two JSON columns with objects, arrays, extensions, references and timestamps."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         "event_id",
         "to_json(named_struct("
         "'source', event_type, "
@@ -305,7 +318,7 @@ def nested_key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     flat = "concat('{text=Take ', o_custkey, ', unit=', o_orderstatus, '}')"
     json = "concat('{\"text\":\"a=b, {c=', o_custkey, '}\",\"n\":', o_orderkey, '}')"
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", f"case o_orderkey % 4 when 0 then {flat} when 1 then {json} else {nested} end as dosage"
     )
 
@@ -313,7 +326,7 @@ def nested_key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 @stored
 def extension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types and users as an extension array; entries without url or value are to be dropped."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         "event_id",
         "concat('[{\"url\":\"urn:x:documentId\",\"valueString\":\"d', event_id, '\"},"
         "{\"url\":\"http://x/count\",\"valueInteger\":', user_id, '},"
@@ -325,7 +338,7 @@ def extension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @stored
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as medication statements with all fifteen JSON text columns."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(spark, sf_dir, "orders").selectExpr(
         "concat('st-', o_orderkey) as id",
         "case o_orderstatus when 'F' then 'completed' when 'O' then '' else 'null' end as Status",
         "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS'-03:00'\") as effectivedatetime",
@@ -380,7 +393,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"'SNOMEDCTConcepts', {concepts(4, 'S')})"
     )
     return (
-        table(spark, sf_dir, "orders")
+        spread(spark, sf_dir, "orders")
         .selectExpr("*", f"posexplode(array({apis})) as (api_ord, api)")
         .selectExpr(
             "o_orderkey as row_number",
@@ -394,6 +407,6 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @stored
 def annotated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread(spark, sf_dir, "orders").selectExpr(
         "o_orderkey as row_number", "o_custkey as case_hub_id", "o_orderpriority as case_type_name"
     )
