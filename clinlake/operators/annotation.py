@@ -101,29 +101,41 @@ def _exploded(df: DataFrame, rest: Sequence[str], items: Column) -> DataFrame:
     return df.select(*rest, F.explode_outer(items).alias("_item")).filter("_item is not null")
 
 
-def _items(responses: DataFrame, fields: str, items: str, key: Sequence[str], scope: str) -> DataFrame:
+def _with_rows(found: DataFrame, rows: DataFrame | None) -> DataFrame:
+    """``found`` with its source rows, if any; what a table needs of a response is joined rather than the response."""
+    return found if rows is None else attach_row_metadata(found, rows)
+
+
+def _items(
+    responses: DataFrame, fields: str, items: str, key: Sequence[str], scope: str, rows: DataFrame | None = None
+) -> DataFrame:
     """One row per item of the responses' ``Entities``, the first of each key only.
 
     ``fields`` are the entity fields to parse, ``items`` makes array<struct<key, place, rest>> of them.
     With ``scope="api"`` a key counts within one response and repeats are dropped inside the row; with
     ``scope="row"`` it counts over all responses of a source row, which takes a shuffle.
     """
+    if scope not in ("api", "row"):
+        raise ValueError(f"scope must be 'api' or 'row', not {scope!r}")
     rest = _rest(responses)
     parsed = _entities(responses, fields)
     found = responses.select(*rest, parsed.alias("_found")).select(*rest, F.expr(items).alias("_items"))
     if scope == "api":
         first = (
-            "get(transform(array(array_sort(_items)), s -> get(transform(array(s.key), keys -> "
+            "get(transform(array(sort_array(_items)), s -> get(transform(array(s.key), keys -> "
             "filter(s, (x, i) -> not (get(keys, i - 1) <=> x.key))), 0)), 0)"
         )
-        return _exploded(found, rest, F.expr(first)).select(*rest, "_item.key.*", "_item.rest.*")
-    if scope != "row":
-        raise ValueError(f"scope must be 'api' or 'row', not {scope!r}")
-    rows = _exploded(found, rest, F.col("_items")).select(*rest, "_item.key.*", "_item.rest.*", "_item.place")
-    return first_per_key(rows, ["row_number", *key], ["api_ord", "place"]).drop("place")
+        found = found.select(*rest, F.expr(first).alias("_items"))
+    found = _with_rows(found, rows)
+    rest = [c for c in found.columns if c != "_items"]
+    exploded = _exploded(found, rest, F.col("_items"))
+    if scope == "api":
+        return exploded.select(*rest, "_item.key.*", "_item.rest.*")
+    each = exploded.select(*rest, "_item.key.*", "_item.rest.*", "_item.place")
+    return first_per_key(each, ["row_number", *key], ["api_ord", "place"]).drop("place")
 
 
-def entities(responses: DataFrame, scope: str = "api") -> DataFrame:
+def entities(responses: DataFrame, scope: str = "api", rows: DataFrame | None = None) -> DataFrame:
     """One row per entity; the first of a repeated Id stays."""
     items = (
         "transform(_found, (e, i) -> named_struct('key', named_struct('Id', e.Id), 'place', i, "
@@ -131,10 +143,10 @@ def entities(responses: DataFrame, scope: str = "api") -> DataFrame:
         "'BeginOffset', e.BeginOffset, 'EndOffset', e.EndOffset)))"
     )
     fields = "Id:bigint,Text:string,Category:string,Type:string,Score:double,BeginOffset:bigint,EndOffset:bigint"
-    return _items(responses, fields, items, ["Id"], scope)
+    return _items(responses, fields, items, ["Id"], scope, rows)
 
 
-def traits(responses: DataFrame, scope: str = "api") -> DataFrame:
+def traits(responses: DataFrame, scope: str = "api", rows: DataFrame | None = None) -> DataFrame:
     """One row per trait of an entity; the first of a repeated (EntityId, TraitName, TraitScore) stays."""
     items = (
         "flatten(transform(_found, (e, i) -> transform(coalesce(e.Traits, array()), (t, j) -> named_struct("
@@ -142,10 +154,10 @@ def traits(responses: DataFrame, scope: str = "api") -> DataFrame:
         "'place', named_struct('i', i, 'j', j), 'rest', named_struct()))))"
     )
     fields = "Id:bigint,Traits:array<struct<Name:string,Score:double>>"
-    return _items(responses, fields, items, ["EntityId", "TraitName", "TraitScore"], scope)
+    return _items(responses, fields, items, ["EntityId", "TraitName", "TraitScore"], scope, rows)
 
 
-def attributes(responses: DataFrame, scope: str = "api") -> DataFrame:
+def attributes(responses: DataFrame, scope: str = "api", rows: DataFrame | None = None) -> DataFrame:
     """One row per attribute of an entity; category and relationship are ``''`` when they are absent.
 
     The first of a repeated (EntityId, AttributeId, AttributeText) stays.
@@ -164,17 +176,18 @@ def attributes(responses: DataFrame, scope: str = "api") -> DataFrame:
         "Id:bigint,Attributes:array<struct<Id:bigint,Text:string,Category:string,Type:string,Score:double,"
         "RelationshipScore:string,RelationshipType:string,BeginOffset:bigint,EndOffset:bigint>>"
     )
-    return _items(responses, fields, items, ["EntityId", "AttributeId", "AttributeText"], scope)
+    return _items(responses, fields, items, ["EntityId", "AttributeId", "AttributeText"], scope, rows)
 
 
-def _scored_concepts(responses: DataFrame, api: str, field: str, prefix: str) -> DataFrame:
+def _scored_concepts(responses: DataFrame, api: str, field: str, prefix: str, rows: DataFrame | None = None) -> DataFrame:
     """Concepts of one api, one row each, repeats kept."""
     fields = f"Id:bigint,{field}:array<struct<Code:string,Description:string,Score:double>>"
-    rest = _rest(responses)
     parsed = _entities(responses, fields)
+    own = responses.filter(F.col("api") == api).select(*_rest(responses), parsed.alias("_entities"))
+    found = _with_rows(own, rows)
+    rest = [c for c in found.columns if c != "_entities"]
     return (
-        responses.filter(F.col("api") == api)
-        .select(*rest, F.explode_outer(parsed).alias("_entity"))
+        found.select(*rest, F.explode_outer("_entities").alias("_entity"))
         .select(*rest, F.col("_entity.Id").alias("EntityId"), F.explode(f"_entity.{field}").alias("_concept"))
         .select(
             *rest,
@@ -186,25 +199,26 @@ def _scored_concepts(responses: DataFrame, api: str, field: str, prefix: str) ->
     )
 
 
-def icd10_concepts(responses: DataFrame) -> DataFrame:
-    return _scored_concepts(responses, "infer_icd10_cm", "ICD10CMConcepts", "ICD")
+def icd10_concepts(responses: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    return _scored_concepts(responses, "infer_icd10_cm", "ICD10CMConcepts", "ICD", rows)
 
 
-def snomed_concepts(responses: DataFrame) -> DataFrame:
-    return _scored_concepts(responses, "infer_snomed_ct", "SNOMEDCTConcepts", "SNOMED")
+def snomed_concepts(responses: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    return _scored_concepts(responses, "infer_snomed_ct", "SNOMEDCTConcepts", "SNOMED", rows)
 
 
-def rxnorm_concepts(responses: DataFrame) -> DataFrame:
-    return _scored_concepts(responses, "infer_rx_norm", "RxNormConcepts", "RxNorm")
+def rxnorm_concepts(responses: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    return _scored_concepts(responses, "infer_rx_norm", "RxNormConcepts", "RxNorm", rows)
 
 
 def attach_row_metadata(annotations: DataFrame, rows: DataFrame, on: str = "row_number") -> DataFrame:
     """Add the source row's columns to its annotations; annotations without a source row are dropped.
 
-    Join responses rather than the tables made from them: there are at most a handful per row, so no
-    key is hot, and one join serves all six tables.
+    Join responses, or what is taken from each, rather than the tables made from them: there are at most a
+    handful per row, so no key is hot. The tables' functions take the rows for that, and then join only what they
+    have taken from a response. The rows are hashed, as the narrow side: responses, which are wide, are not sorted.
     """
-    return annotations.join(rows, on, "inner")
+    return annotations.join(rows.hint("shuffle_hash"), on, "inner")
 
 
 # Output table of each operator, in the order they are written.

@@ -151,3 +151,19 @@ def test_tables_are_appended_and_empty_ones_left_out(spark, responses, tmp_path)
     assert spark.table("ann.comprehend_icd_concepts").count() == 4
     assert {r.case for r in spark.table("ann.comprehend_icd_concepts").collect()} == {"k1"}
     assert not spark.catalog.tableExists("ann.comprehend_nothing")
+
+
+def test_what_a_table_needs_is_joined_rather_than_the_response(spark, responses):
+    rows = spark.createDataFrame([(1, "a"), (3, "c")], "row_number long, kind string")
+    makers = [A.entities, A.traits, A.attributes, A.icd10_concepts, A.snomed_concepts, A.rxnorm_concepts]
+    for make in makers:
+        after = make(A.attach_row_metadata(responses, rows))
+        before = make(responses, rows=rows)
+        assert before.columns == after.columns
+        assert sorted(map(repr, before.collect())) == sorted(map(repr, after.collect()))
+        plan = before._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Sort [" not in plan
+        above, *below = plan.split("Exchange")
+        assert "from_json" not in above and "from_json" in "".join(below)
+    both = A.traits(responses, scope="row", rows=rows)
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, A.traits(A.attach_row_metadata(responses, rows), scope="row").collect()))

@@ -305,49 +305,45 @@ def detected_entities(spark, sf_dir):
     return rows.select("doc_id", "text", F.array_join("detected_entities", "|").alias("detected_entities"), "error")
 
 
-def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.attach_row_metadata(shapes.responses(spark, sf_dir), shapes.annotated_rows(spark, sf_dir))
-
-
 @query
 def annotation_entities(spark, sf_dir):
-    return A.entities(_annotated(spark, sf_dir))
+    return A.entities(shapes.responses(spark, sf_dir), rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_entities_per_row(spark, sf_dir):
     """De-duplicated over all apis of a source row."""
-    return A.entities(_annotated(spark, sf_dir), scope="row")
+    return A.entities(shapes.responses(spark, sf_dir), scope="row", rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_traits(spark, sf_dir):
-    return A.traits(_annotated(spark, sf_dir))
+    return A.traits(shapes.responses(spark, sf_dir), rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_traits_per_row(spark, sf_dir):
-    return A.traits(_annotated(spark, sf_dir), scope="row")
+    return A.traits(shapes.responses(spark, sf_dir), scope="row", rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_attributes(spark, sf_dir):
-    return A.attributes(_annotated(spark, sf_dir))
+    return A.attributes(shapes.responses(spark, sf_dir), rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_icd10(spark, sf_dir):
-    return A.icd10_concepts(_annotated(spark, sf_dir))
+    return A.icd10_concepts(shapes.responses(spark, sf_dir), rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_snomed(spark, sf_dir):
-    return A.snomed_concepts(_annotated(spark, sf_dir))
+    return A.snomed_concepts(shapes.responses(spark, sf_dir), rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
 def annotation_rxnorm(spark, sf_dir):
-    return A.rxnorm_concepts(_annotated(spark, sf_dir))
+    return A.rxnorm_concepts(shapes.responses(spark, sf_dir), rows=shapes.annotated_rows(spark, sf_dir))
 
 
 @query
