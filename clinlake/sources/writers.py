@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from clinlake.functions.variant import literal, quoted
 from clinlake.operators.rows import render_rows
-from clinlake.session import delete_folder
+from clinlake.session import delete_folder, few_folders
 
 
 def has_v2_catalog(spark: SparkSession, name: str) -> bool:
@@ -20,6 +20,9 @@ def has_v2_catalog(spark: SparkSession, name: str) -> bool:
     return spark.conf.get(f"spark.sql.catalog.{catalog}", None) is not None
 
 
+# Lines of a compressed file.
+LINES_PER_FILE = 100_000
+
 #: Table property: where the version before the present one lies.
 PREVIOUS = "clinlake.previous.location"
 
@@ -197,8 +200,10 @@ def write_row_text(df: DataFrame, path: str, number: str = "_row_number") -> Non
 
 
 def write_annotations_json(responses: DataFrame, path: str) -> None:
-    """Raw responses as JSON lines, in one folder per api."""
-    responses.write.mode("overwrite").partitionBy("api").json(path)
+    """Raw responses as gzipped JSON lines, in one folder per api; a file is read by one task, so its rows are bounded."""
+    with few_folders(responses.sparkSession):
+        writer = responses.write.mode("overwrite").partitionBy("api").option("maxRecordsPerFile", LINES_PER_FILE)
+        writer.json(path, compression="gzip")
 
 
 def copy_layer(spark: SparkSession, source_db: str, target_db: str, tables: Sequence[str]) -> None:

@@ -167,3 +167,14 @@ def test_what_a_table_needs_is_joined_rather_than_the_response(spark, responses)
         assert "from_json" not in above and "from_json" in "".join(below)
     both = A.traits(responses, scope="row", rows=rows)
     assert sorted(map(repr, both.collect())) == sorted(map(repr, A.traits(A.attach_row_metadata(responses, rows), scope="row").collect()))
+
+
+def test_annotation_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    from clinlake.sources import writers
+
+    monkeypatch.setattr(writers, "LINES_PER_FILE", 10)
+    rows = spark.range(30).coalesce(1).selectExpr("id as row_number", "'x' as api", "concat('{', id, '}') as response_json")
+    writers.write_annotations_json(rows, str(tmp_path / "r"))
+    files = list((tmp_path / "r" / "api=x").glob("*.json.gz"))
+    assert len(files) == 3
+    assert spark.read.json(str(tmp_path / "r")).count() == 30
