@@ -15,3 +15,16 @@ def test_rows_are_spread_before_they_are_reshaped(spark, tmp_path, monkeypatch):
     exchanged = made._jdf.queryExecution().optimizedPlan().toString().split("Repartition", 1)[1]
     assert "response_json" not in exchanged
     assert shapes.responses(spark, str(tmp_path)).count() == 2000
+
+
+def test_the_entries_of_all_maps_come_from_one_flattening(spark, monkeypatch):
+    from workload.queries import json_flatten_map
+
+    rows = [(1, '{"a":1,"b":{"c":"x"}}', None), (2, None, '[{"v":"y"}]'), (3, None, None)]
+    frame = spark.createDataFrame(rows, "event_id long, meta string, identifier string")
+    monkeypatch.setattr(shapes, "nested_json", lambda spark, sf_dir: frame)
+    made = json_flatten_map(spark, "")
+    assert sorted(map(tuple, made.collect())) == [
+        (1, "meta", "meta_a", "1"), (1, "meta", "meta_b_c", "x"), (2, "identifier", "identifier_0_v", "y"),
+    ]
+    assert "Union" not in made._jdf.queryExecution().optimizedPlan().toString()

@@ -236,9 +236,13 @@ def json_nested_key_value(spark, sf_dir):
 def json_flatten_map(spark, sf_dir):
     """The entries of the maps, a row each."""
     maps = J.flatten_to_map(shapes.nested_json(spark, sf_dir), ["meta", "identifier"])
-    return reduce(DataFrame.unionByName, [
-        maps.select("event_id", F.lit(c).alias("column"), F.explode(c).alias("path", "value")) for c in ("meta", "identifier")
-    ])
+    # All maps of a row in one array: a frame for each column would flatten every document once more.
+    entries = ", ".join(
+        f"transform(coalesce(map_entries({c}), array()), e -> named_struct('column', '{c}', 'path', e.key, 'value', e.value))"
+        for c in ("meta", "identifier")
+    )
+    rows = maps.select("event_id", F.explode_outer(F.expr(f"concat({entries})")).alias("_entry"))
+    return rows.filter("_entry is not null").select("event_id", "_entry.*")
 
 
 @query
