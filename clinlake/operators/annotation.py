@@ -96,24 +96,41 @@ def _rest(responses: DataFrame) -> list[str]:
     return [c for c in responses.columns if c not in ("response_json", "response")]
 
 
-def _exploded(df: DataFrame, rest: Sequence[str], items: Column) -> DataFrame:
-    """One row per item, in ``_item``; the outer form keeps the optimizer from computing items twice."""
-    return df.select(*rest, F.explode_outer(items).alias("_item")).filter("_item is not null")
-
-
 def _with_rows(found: DataFrame, rows: DataFrame | None) -> DataFrame:
     """``found`` with its source rows, if any; what a table needs of a response is joined rather than the response."""
     return found if rows is None else attach_row_metadata(found, rows)
 
 
+def _repeats(key: Mapping[str, str]) -> str:
+    """SQL for an array with, by place in ``_items``, whether an item is the first of its key; NULL where no key repeats.
+
+    Keys that differ in their hash differ, so most responses are settled without sorting; the others are sorted by key.
+    """
+    keys = ", ".join(f"{value.format('x')}" for value in key.values())
+    named = ", ".join(f"'{name}', {value.format('x')}" for name, value in key.items())
+    placed = f"sort_array(transform(_items, (x, i) -> named_struct('key', named_struct({named}), 'place', i)))"
+    first = "transform(s, (x, i) -> named_struct('place', x.place, 'first', not (get(s, i - 1).key <=> x.key)))"
+    flags = f"get(transform(array({placed}), s -> transform(sort_array({first}), x -> x.first)), 0)"
+    return (
+        f"get(transform(array(transform(_items, x -> xxhash64({keys}))), h -> "
+        f"case when cardinality(array_distinct(h)) < cardinality(h) then {flags} end), 0)"
+    )
+
+
 def _items(
-    responses: DataFrame, fields: str, items: str, key: Sequence[str], scope: str, rows: DataFrame | None = None
+    responses: DataFrame,
+    fields: str,
+    items: str,
+    key: Mapping[str, str],
+    values: Mapping[str, str],
+    scope: str,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """One row per item of the responses' ``Entities``, the first of each key only.
 
-    ``fields`` are the entity fields to parse, ``items`` makes array<struct<key, place, rest>> of them.
-    With ``scope="api"`` a key counts within one response and repeats are dropped inside the row; with
-    ``scope="row"`` it counts over all responses of a source row, which takes a shuffle.
+    ``fields`` are the entity fields to parse, ``items`` makes an array of items of them, in order. ``key`` and ``values``
+    are the columns of an item, as SQL in which ``{}`` stands for it. With ``scope="api"`` a key counts within one response and
+    repeats are found inside the row; with ``scope="row"`` it counts over all responses of a source row, which takes a shuffle.
     """
     if scope not in ("api", "row"):
         raise ValueError(f"scope must be 'api' or 'row', not {scope!r}")
@@ -121,40 +138,38 @@ def _items(
     parsed = _entities(responses, fields)
     found = responses.select(*rest, parsed.alias("_found")).select(*rest, F.expr(items).alias("_items"))
     if scope == "api":
-        first = (
-            "get(transform(array(sort_array(_items)), s -> get(transform(array(s.key), keys -> "
-            "filter(s, (x, i) -> not (get(keys, i - 1) <=> x.key))), 0)), 0)"
-        )
-        found = found.select(*rest, F.expr(first).alias("_items"))
+        found = found.select("*", F.expr(_repeats(key)).alias("_first"))
     found = _with_rows(found, rows)
-    rest = [c for c in found.columns if c != "_items"]
-    exploded = _exploded(found, rest, F.col("_items"))
+    rest = [c for c in found.columns if c not in ("_items", "_first")]
+    own = [c for c in found.columns if c != "_items"]
+    # The outer form keeps the optimizer from computing items twice.
+    each = found.select(*own, F.posexplode_outer("_items").alias("_place", "_item")).filter("_place is not null")
+    columns = [F.expr(value.format("_item")).alias(name) for name, value in (key | values).items()]
     if scope == "api":
-        return exploded.select(*rest, "_item.key.*", "_item.rest.*")
-    each = exploded.select(*rest, "_item.key.*", "_item.rest.*", "_item.place")
-    return first_per_key(each, ["row_number", *key], ["api_ord", "place"]).drop("place")
+        return each.filter("coalesce(get(_first, _place), true)").select(*rest, *columns)
+    placed = each.select(*rest, *columns, F.col("_place").alias("place"))
+    return first_per_key(placed, ["row_number", *key], ["api_ord", "place"]).drop("place")
 
 
 def entities(responses: DataFrame, scope: str = "api", rows: DataFrame | None = None) -> DataFrame:
     """One row per entity; the first of a repeated Id stays."""
-    items = (
-        "transform(_found, (e, i) -> named_struct('key', named_struct('Id', e.Id), 'place', i, "
-        "'rest', named_struct('Text', e.Text, 'Category', e.Category, 'Type', e.Type, 'Score', e.Score, "
-        "'BeginOffset', e.BeginOffset, 'EndOffset', e.EndOffset)))"
-    )
+    rest = ["Text", "Category", "Type", "Score", "BeginOffset", "EndOffset"]
+    items = "transform(_found, e -> named_struct(" + ", ".join(f"'{c}', e.{c}" for c in ["Id", *rest]) + "))"
     fields = "Id:bigint,Text:string,Category:string,Type:string,Score:double,BeginOffset:bigint,EndOffset:bigint"
-    return _items(responses, fields, items, ["Id"], scope, rows)
+    return _items(responses, fields, items, {"Id": "{}.Id"}, {c: f"{{}}.{c}" for c in rest}, scope, rows)
+
+
+def _parts(field: str) -> str:
+    """SQL for the items of all entities' ``field``, as array<struct<id, part>>."""
+    each = f"transform(coalesce(e.{field}, array()), p -> named_struct('id', e.Id, 'part', p))"
+    return f"flatten(transform(_found, e -> {each}))"
 
 
 def traits(responses: DataFrame, scope: str = "api", rows: DataFrame | None = None) -> DataFrame:
     """One row per trait of an entity; the first of a repeated (EntityId, TraitName, TraitScore) stays."""
-    items = (
-        "flatten(transform(_found, (e, i) -> transform(coalesce(e.Traits, array()), (t, j) -> named_struct("
-        "'key', named_struct('EntityId', e.Id, 'TraitName', t.Name, 'TraitScore', t.Score), "
-        "'place', named_struct('i', i, 'j', j), 'rest', named_struct()))))"
-    )
     fields = "Id:bigint,Traits:array<struct<Name:string,Score:double>>"
-    return _items(responses, fields, items, ["EntityId", "TraitName", "TraitScore"], scope, rows)
+    key = {"EntityId": "{}.id", "TraitName": "{}.part.Name", "TraitScore": "{}.part.Score"}
+    return _items(responses, fields, _parts("Traits"), key, {}, scope, rows)
 
 
 def attributes(responses: DataFrame, scope: str = "api", rows: DataFrame | None = None) -> DataFrame:
@@ -162,21 +177,22 @@ def attributes(responses: DataFrame, scope: str = "api", rows: DataFrame | None
 
     The first of a repeated (EntityId, AttributeId, AttributeText) stays.
     """
-    items = (
-        "flatten(transform(_found, (e, i) -> transform(coalesce(e.Attributes, array()), (a, j) -> named_struct("
-        "'key', named_struct('EntityId', e.Id, 'AttributeId', a.Id, 'AttributeText', a.Text), "
-        "'place', named_struct('i', i, 'j', j), 'rest', named_struct("
-        "'AttributeCategory', coalesce(a.Category, ''), 'AttributeType', a.Type, 'Score', a.Score, "
-        "'RelationshipScore', coalesce(a.RelationshipScore, ''), "
-        "'RelationshipType', coalesce(a.RelationshipType, ''), "
-        "'BeginOffset', a.BeginOffset, 'EndOffset', a.EndOffset)))))"
-    )
     # The score is kept as text because an absent one is ''.
     fields = (
         "Id:bigint,Attributes:array<struct<Id:bigint,Text:string,Category:string,Type:string,Score:double,"
         "RelationshipScore:string,RelationshipType:string,BeginOffset:bigint,EndOffset:bigint>>"
     )
-    return _items(responses, fields, items, ["EntityId", "AttributeId", "AttributeText"], scope, rows)
+    key = {"EntityId": "{}.id", "AttributeId": "{}.part.Id", "AttributeText": "{}.part.Text"}
+    values = {
+        "AttributeCategory": "coalesce({}.part.Category, '')",
+        "AttributeType": "{}.part.Type",
+        "Score": "{}.part.Score",
+        "RelationshipScore": "coalesce({}.part.RelationshipScore, '')",
+        "RelationshipType": "coalesce({}.part.RelationshipType, '')",
+        "BeginOffset": "{}.part.BeginOffset",
+        "EndOffset": "{}.part.EndOffset",
+    }
+    return _items(responses, fields, _parts("Attributes"), key, values, scope, rows)
 
 
 def _scored_concepts(responses: DataFrame, api: str, field: str, prefix: str, rows: DataFrame | None = None) -> DataFrame:

@@ -178,3 +178,17 @@ def test_annotation_files_are_compressed_and_bounded(spark, tmp_path, monkeypatc
     files = list((tmp_path / "r" / "api=x").glob("*.json.gz"))
     assert len(files) == 3
     assert spark.read.json(str(tmp_path / "r")).count() == 30
+
+
+def test_only_responses_with_repeats_are_sorted(spark):
+    attributes = [ATTRIBUTE | {"Id": i % 3, "Text": t, "Category": str(i)} for i in range(6) for t in ("a", None)]
+    documents = [{"Entities": [entity(n, "e", attributes=attributes), entity(n, "f", attributes=attributes)]} for n in (0, None)]
+    documents.append({"Entities": [None, entity(1, "e", attributes=[*attributes[:3], None])]})
+    df = spark.createDataFrame([(i, "a", 0, json.dumps(d)) for i, d in enumerate(documents)],
+                               "row_number long, api string, api_ord int, response_json string")
+    found = A.attributes(df)
+    rows = sorted((r.row_number, r.AttributeId, r.AttributeText or "", r.AttributeCategory) for r in found.collect() if r.AttributeId is not None)
+    repeated = [(i, t, str(i)) for i in range(3) for t in ("", "a")]
+    assert rows == [(n, *r) for n in (0, 1) for r in repeated] + [(2, 0, "", "0"), (2, 0, "a", "0"), (2, 1, "a", "1")]
+    assert [(r.row_number, r.AttributeCategory) for r in found.filter("AttributeId is null").collect()] == [(2, "")]
+    assert "xxhash64" in found._jdf.queryExecution().optimizedPlan().toString()

@@ -371,40 +371,62 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as annotation responses, one per api; 0-4 entities each, whose Ids and traits repeat."""
     apis = "'detect_entities_v2', 'detect_phi', 'infer_icd10_cm', 'infer_rx_norm', 'infer_snomed_ct'"
+    count = "int(o_custkey % 5)"
+
+    # Most of an entity is the same for all apis: that text is made once an order, and only joined for each api.
+    def before(k: int) -> str:
+        text = f"to_json(named_struct('Id', {k} % 3, 'Text', concat(o_orderpriority, ' ', {k}), 'Category', o_orderstatus))"
+        return f"case when {count} > {k} then rtrim('}}', {text}) end as before_{k}"
+
+    def after(k: int) -> str:
+        text = (
+            f"to_json(named_struct('BeginOffset', {k} * 10, 'EndOffset', {k} * 10 + 5, "
+            f"'Traits', case when {k} != 1 then array(named_struct('Name', 'NEGATION', 'Score', 0.5), "
+            f"named_struct('Name', 'SIGN', 'Score', {k} / 4.0D), named_struct('Name', 'NEGATION', 'Score', 0.5)) end, "
+            "'Attributes', array("
+            f"named_struct('Id', {k}, 'Text', 'dose', 'Category', 'MED', 'Type', 'DOSAGE', 'Score', 0.5, "
+            f"'RelationshipScore', 0.75, 'RelationshipType', 'DOSAGE', 'BeginOffset', {k}, 'EndOffset', {k} + 1), "
+            f"named_struct('Id', {k} % 2, 'Text', 'route', 'Category', null, 'Type', o_orderstatus, 'Score', 0.25, "
+            f"'RelationshipScore', null, 'RelationshipType', null, 'BeginOffset', {k}, 'EndOffset', {k} + 2))))"
+        )
+        return f"case when {count} > {k} then {_inside(text)} end as after_{k}"
 
-    def concepts(api: int, code: str) -> str:
-        return (
-            f"case when api_ord = {api} then array(named_struct('Code', concat('{code}', o_custkey, '-', k), "
-            "'Description', concat(o_orderpriority, ' ', k), 'Score', 0.25), "
-            f"named_struct('Code', '{code}', 'Description', 'second', 'Score', 0.125)) end"
+    def concepts(k: int, field: str, code: str) -> str:
+        text = (
+            f"to_json(named_struct('{field}', array(named_struct('Code', concat('{code}', o_custkey, '-', {k}), "
+            f"'Description', concat(o_orderpriority, ' ', {k}), 'Score', 0.25), "
+            f"named_struct('Code', '{code}', 'Description', 'second', 'Score', 0.125))))"
         )
+        return f"concat(',', {_inside(text)})"
 
-    entity = (
-        "named_struct('Id', k % 3, 'Text', concat(o_orderpriority, ' ', k), 'Category', o_orderstatus, "
-        "'Type', concat('t', api_ord), 'Score', (k + api_ord) / 8.0D, 'BeginOffset', k * 10, 'EndOffset', k * 10 + 5, "
-        "'Traits', case when k != 1 then array(named_struct('Name', 'NEGATION', 'Score', 0.5), "
-        "named_struct('Name', 'SIGN', 'Score', k / 4.0D), named_struct('Name', 'NEGATION', 'Score', 0.5)) end, "
-        "'Attributes', array("
-        "named_struct('Id', k, 'Text', 'dose', 'Category', 'MED', 'Type', 'DOSAGE', 'Score', 0.5, "
-        "'RelationshipScore', 0.75, 'RelationshipType', 'DOSAGE', 'BeginOffset', k, 'EndOffset', k + 1), "
-        "named_struct('Id', k % 2, 'Text', 'route', 'Category', null, 'Type', o_orderstatus, 'Score', 0.25, "
-        "'RelationshipScore', null, 'RelationshipType', null, 'BeginOffset', k, 'EndOffset', k + 2)), "
-        f"'ICD10CMConcepts', {concepts(2, 'I')}, 'RxNormConcepts', {concepts(3, 'R')}, "
-        f"'SNOMEDCTConcepts', {concepts(4, 'S')})"
-    )
+    def entity(k: int) -> str:
+        own = (
+            f"case api_ord when 2 then {concepts(k, 'ICD10CMConcepts', 'I')} when 3 then {concepts(k, 'RxNormConcepts', 'R')} "
+            f"when 4 then {concepts(k, 'SNOMEDCTConcepts', 'S')} else '' end"
+        )
+        typed = f"',\"Type\":\"t', api_ord, '\",\"Score\":', ({k} + api_ord) / 8.0D, ','"
+        return f"case when {count} > {k} then concat(before_{k}, {typed}, after_{k}, {own}, '}}') end"
+
+    places = range(4)
+    found = f"slice(array({', '.join(entity(k) for k in places)}), 1, {count})"
     return (
         spread(spark, sf_dir, "orders")
+        .selectExpr("*", *[before(k) for k in places], *[after(k) for k in places])
         .selectExpr("*", f"posexplode(array({apis})) as (api_ord, api)")
         .selectExpr(
             "o_orderkey as row_number",
             "api",
             "api_ord",
-            "to_json(named_struct('Entities', transform(slice(array(0, 1, 2, 3), 1, int(o_custkey % 5)), "
-            f"k -> {entity}))) as response_json",
+            f"coalesce(concat('{{\"Entities\":[', array_join({found}, ','), ']}}'), '{{}}') as response_json",
         )
     )
 
 
+def _inside(text: str) -> str:
+    """SQL for the members of a JSON object whose first is named and whose last is an array, without its braces."""
+    return f"trim(both '{{}}' from {text})"
+
+
 @stored
 def annotated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark, sf_dir, "orders").selectExpr(
