@@ -293,3 +293,29 @@ def test_as_many_shapes_as_rows(spark):
 def test_documents_of_one_shape_are_walked_once(spark):
     df = spark.createDataFrame([(json.dumps({"a": f"t{i}", "b": [i, None], "r": f"reference=P/{i}"}),) for i in range(500)], "c string")
     assert J.document_shapes(df, ["c"]).count() == 1
+
+
+def test_nested_texts_are_flattened_without_a_walk_for_their_depth(spark, monkeypatch):
+    def walked(*_):
+        raise AssertionError("walked")
+
+    monkeypatch.setattr(J, "_sources_at", walked)
+    deep = "{a={b={c={d={e={f={g={h=x}}}}}}}}"
+    assert long_rows_nested(spark, deep) == {("c_a_b_c_d_e_f_g_h", "x")}
+    assert long_rows_nested(spark, '{"a":"]}]}","b":{"c":[{"d":"{["}]}}') == {("c_a", "]}]}"), ("c_b_c_0_d", "{[")}
+    assert long_rows_nested(spark, '["{{{{{{{{"]') == {("c_0", "{{{{{{{{")}
+    assert long_rows_nested(spark, None) == long_rows_nested(spark, "[]") == long_rows_nested(spark, "{a") == set()
+
+
+def long_rows_nested(spark, text):
+    df = spark.createDataFrame([(0, text)], "i int, c string")
+    return {(r.path, r.value) for r in J.flatten_long(df, ["i"], ["c"], nested=["c"]).collect()}
+
+
+def test_brackets_bound_the_levels(spark):
+    texts = ['{"a":[[1,{"b":"{[{[\\""}]],"c":{}}', "[]", "12", '"[[["']
+    df = spark.createDataFrame([(t,) for t in texts], "c string").select("c", V.parse_json_strict("c").alias("d"))
+    found = df.select("c", V.bracket_skeleton("d").alias("s")).select("c", "s", V.nesting("s").alias("n"))
+    assert {(r.c, r.s, r.n) for r in found.collect()} == {
+        (texts[0], "{[[{}]]{}}", 4), (texts[1], "[]", 1), (texts[2], "", 0), (texts[3], "", 0),
+    }
