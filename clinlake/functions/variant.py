@@ -107,8 +107,10 @@ def repair_nested_key_value(column: str) -> Column:
 def _parse_strict(text: str) -> str:
     # Most text that is no JSON shows it at the start; testing that is far cheaper than a failed parse.
     likely = f"case when regexp_like({text}, {literal(_JSON_START)}) then {text} end"
+    # Only text that holds the mark itself can have it in second place and go on.
     whole = (
-        f"{_scalar('doc', '$[1]')} = '{_END_MARK}' and try_variant_get(doc, '$[2]', 'variant') is null"
+        f"{_scalar('doc', '$[1]')} = '{_END_MARK}' and "
+        f"(not contains({text}, '{_END_MARK}') or try_variant_get(doc, '$[2]', 'variant') is null)"
     )
     return _let_sql(
         "doc",
@@ -367,7 +369,7 @@ def leaf_entries(entries: str) -> Column:
     resolved = _let_sql(
         "p",
         f"if(e.member and contains(e.text, 'reference='), {_let_sql('r', target, named)}, {plain})",
-        "named_struct('column', e.column, 'path', regexp_replace(p.path, '[^a-zA-Z0-9_]', '_'), "
+        "named_struct('column', e.column, 'path', regexp_replace(p.path, '\\\\W', '_'), "
         "'text', p.text, 'open', e.size is not null, 'level', e.level)",
     )
     return F.expr(f"transform({leaves}, e -> {resolved})")

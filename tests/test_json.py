@@ -319,3 +319,14 @@ def test_brackets_bound_the_levels(spark):
     assert {(r.c, r.s, r.n) for r in found.collect()} == {
         (texts[0], "{[[{}]]{}}", 4), (texts[1], "[]", 1), (texts[2], "", 0), (texts[3], "", 0),
     }
+
+
+@pytest.mark.parametrize("text", ['1,"$end-of-document$"', '1,"$end-of-document$",2', '{"a":"$end-of-document$"}'])
+def test_text_with_the_end_mark(spark, text):
+    df = spark.createDataFrame([(text,)], "c string").select(V.parse_json_lenient("c").cast("string").alias("v"))
+    assert df.first().v == (text if text.startswith("{") else None)
+    assert "not contains(t, '$end-of-document$') or" in V._parse_strict("t")  # the rest is not looked at otherwise
+
+
+def test_names_keep_word_characters_only(spark):
+    assert long_rows(spark, '{"a-b":1,"\u00e9_Z9":2,"\U0001f600.x":3}') == {("c_a_b", "1"), ("c___Z9", "2"), ("c___x", "3")}
