@@ -330,3 +330,18 @@ def test_text_with_the_end_mark(spark, text):
 
 def test_names_keep_word_characters_only(spark):
     assert long_rows(spark, '{"a-b":1,"\u00e9_Z9":2,"\U0001f600.x":3}') == {("c_a_b", "1"), ("c___Z9", "2"), ("c___x", "3")}
+
+
+def test_the_first_form_of_a_document_is_parsed_without_lambdas(spark):
+    texts = ['{"a":1}', '"{""a"":1}"', '"{""a"":1}', '{"a":""x""}', "{a=1}", '"{a=1}"', '"a=1"', '""', '"', " null ", "", None, "{a", "12",
+             '"12"', '{"a":1} x', '1,"$end-of-document$"', '1,"$end-of-document$",2', "[{a=1}, {b={c=2}}]", '{"a":1}]', " [1] "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, `c d` string")
+    for nested in ([], ["c d"]):
+        steps = V.document_steps({"_document_0": "c d"}, nested)
+        assert all("->" not in sql for step in steps[:-1] for sql in step.values())
+        frame = df.withColumn("w", V.parse_json_lenient("c d", bool(nested)))
+        for step in steps:
+            frame = frame.selectExpr("*", *[f"{sql} as {name}" for name, sql in step.items()])
+        found = frame.selectExpr("i", "to_json(w) as w", "to_json(_document_0) as d").collect()
+        assert [(r.i, r.d) for r in found] == [(r.i, r.w) for r in found]
+        assert found[1].d == '{"a":1}'
