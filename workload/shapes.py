@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinlake.session import working_folder
+from clinlake.session import split_large_methods, working_folder
 
 _stored: dict[tuple[str, str, str], str] = {}
 
@@ -407,6 +407,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         typed = f"',\"Type\":\"t', api_ord, '\",\"Score\":', ({k} + api_ord) / 8.0D, ','"
         return f"case when {count} > {k} then concat(before_{k}, {typed}, after_{k}, {own}, '}}') end"
 
+    split_large_methods(spark)
     places = range(4)
     found = f"slice(array({', '.join(entity(k) for k in places)}), 1, {count})"
     return (
