@@ -1,6 +1,7 @@
 """Detector calls and normalised responses."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +193,41 @@ def test_only_responses_with_repeats_are_sorted(spark):
     assert rows == [(n, *r) for n in (0, 1) for r in repeated] + [(2, 0, "", "0"), (2, 0, "a", "0"), (2, 1, "a", "1")]
     assert [(r.row_number, r.AttributeCategory) for r in found.filter("AttributeId is null").collect()] == [(2, "")]
     assert "xxhash64" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeats_are_settled_by_hash_and_by_key_alike(spark, monkeypatch):
+    rng = random.Random(5)
+    values = [None, 0.0, -0.0, float("nan"), 0.5]
+    rows = [(n, [(rng.choice([None, 1, 2]), rng.choice([None, "", "a", "b"]), rng.choice(values)) for _ in range(size)])
+            for n, size in enumerate([0, 1, 2, 5, 9, 64, 65, 200] * 3)]
+    df = spark.createDataFrame(rows, "n int, _items array<struct<a:bigint,b:string,c:double>>")
+    key = {"a": "{}.a", "b": "{}.b", "c": "{}.c"}
+    by_hash = A._repeats(key)
+    assert "array_position" in by_hash
+    monkeypatch.setattr(A, "HELD_AGAINST", -1)
+    by_key = A._repeats(key)
+    of_one_hash = by_hash.replace("x -> xxhash64(", "x -> 0L * hash(")
+    found = df.selectExpr("n", "_items", f"{by_hash} as h", f"{by_key} as k", f"{of_one_hash} as o").collect()
+    for r in found:
+        seen, first = set(), []
+        for item in r._items:
+            own = tuple("nan" if v != v else v for v in item)
+            first.append(own not in seen)
+            seen.add(own)
+        expected = None if all(first) else first
+        assert (r.h, r.k) == (expected, expected)
+        assert r.o == expected or (expected is None and (r.o is None or all(r.o)))
+
+
+def test_tables_that_have_rows_are_found_without_a_pass_over_all(spark, tmp_path, monkeypatch):
+    def passed(*_):
+        raise AssertionError("aggregated")
+
+    responses = spark.createDataFrame([(1, "detect_phi", 1, '{"Entities":[{"Id":1,"Traits":[{"Name":"n","Score":0.5}]}]}'), (2, "infer_rx_norm", 3, "{}")],
+                                      "row_number long, api string, api_ord int, response_json string")
+    database = f"found_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/d'")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "row_number long, case_hub_id string")
+    monkeypatch.setattr(type(rows), "agg", passed)
+    assert write_annotation_tables(responses, rows, database, scope="row") == ["comprehend_entities", "comprehend_traits"]
+    assert [tuple(r) for r in spark.table(f"{database}.comprehend_traits").select("row_number", "EntityId", "TraitName", "case_hub_id").collect()] == [(1, 1, "n", "a")]
