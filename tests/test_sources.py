@@ -4,12 +4,13 @@ import datetime
 import os
 import json
 
+import pyarrow.parquet as pq
 import pytest
 
 from clinlake.operators import rows as R
 from clinlake.plans.landing import DELIMITED_TABLES, ingest_all, ingest_resources
 from clinlake.plans.staging import stage_resources
-from clinlake.session import stored, working_folder, working_scope
+from clinlake.session import INFER_SHREDDING, stored, working_folder, working_scope
 from clinlake.sources import readers, writers
 from clinlake.sources.schemas import RESOURCES
 
@@ -218,3 +219,17 @@ def test_a_scope_leaves_nothing_behind(spark):
         folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
         assert os.path.isdir(folder)
     assert not os.path.exists(folder)
+
+
+def test_landed_documents_are_stored_whole(spark, tmp_path, database):
+    raw = database("whole")
+    documents = ['{"id":"a","code":{"text":"x","coding":[{"code":"c"}]},"more":{"deep":[1,{"k":true}]}}', '{"id":"b"}']
+    spark.createDataFrame([(d,) for d in documents], "value string").write.text(f"{tmp_path}/in/Medication")
+    before = spark.conf.get(INFER_SHREDDING)
+    ingest_resources(spark, f"{tmp_path}/in", raw, ["Medication"], multi_line=False)
+    assert spark.conf.get(INFER_SHREDDING) == before
+    files = list((tmp_path / raw / "medication").glob("*.parquet"))
+    stored = {c.path for f in files for c in pq.ParquetFile(f).schema if c.path.startswith("_document")}
+    assert stored == {"_document.value", "_document.metadata"}
+    rows = spark.table(f"{raw}.medication").selectExpr("id", "to_json(_document) as d").collect()
+    assert {r.id: json.loads(r.d) for r in rows} == {"a": json.loads(documents[0]), "b": json.loads(documents[1])}
